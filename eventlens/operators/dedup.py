@@ -7,7 +7,7 @@ the same id is less than the window old; a rejected delivery does not renew it.
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from eventlens.session import materialize, small_side
+from eventlens.session import broadcast_if_small, materialize
 
 WINDOW_SECONDS = 30
 # Ids with at most this many deliveries are folded as one array; busier ids are
@@ -59,27 +59,43 @@ def dedup_window(
         .where("_n > 1"),
         "contested",
     )
+    long = F.col("_hi") - F.col("_lo") >= width
+    sizes = contested.agg(
+        F.count("*").alias("ids"),
+        F.count_if(long & (F.col("_n") <= fold_limit)).alias("light"),
+        F.count_if(long & (F.col("_n") > fold_limit)).alias("heavy"),
+    ).first()
+    if not sizes.ids:
+        return df
     ids = contested.select("_cid")
     same = F.col(id_col).eqNullSafe(F.col("_cid"))
-    passed = join_ids(timed, ids, same, "left_anti")
-    repeated = join_ids(timed, ids, same, "left_semi")
-    accepted = _accepted_times(repeated, contested, id_col, width, fold_limit)
+    passed = join_ids(timed, ids, sizes.ids, same, "left_anti")
+    repeated = materialize(join_ids(timed, ids, sizes.ids, same, "left_semi"), "repeated")
+    arrivals = repeated.select(F.col(id_col).alias("_id"), "_us")
+
+    # Within one window span only the first delivery of an id can be accepted.
+    accepted = contested.where(~long).select("_cid", F.col("_lo").alias("_t"))
+    if sizes.light:
+        light = contested.where(long & (F.col("_n") <= fold_limit)).select("_cid")
+        accepted = accepted.unionByName(_fold(arrivals, light, sizes.light, width))
+    if sizes.heavy:
+        heavy = contested.where(long & (F.col("_n") > fold_limit)).select("_cid", F.col("_lo").alias("_t"))
+        accepted = accepted.unionByName(_chain(arrivals, heavy, sizes.heavy, width))
+
     ties = [c for c in tie_cols if c in df.columns]
     settled = _first_by(repeated, [id_col, "_us"], ties or [F.lit(0)]).join(
-        accepted,
-        F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_us") == F.col("_t")),
-        "left_semi",
+        accepted, same & (F.col("_us") == F.col("_t")), "left_semi",
     )
     return passed.unionByName(settled).drop("_us")
 
 
-def join_ids(rows: DataFrame, ids: DataFrame, same: Column, how: str) -> DataFrame:
-    """Join rows (with ``_us``) to a written table of at most one row per id.
+def join_ids(rows: DataFrame, ids: DataFrame, n_ids: int, same: Column, how: str) -> DataFrame:
+    """Join rows (with ``_us``) to a table of ``n_ids`` distinct ids.
 
     Broadcasts the ids if their count allows. Otherwise each id is repeated per
     salt and the rows of one id are spread over the salts by their time.
     """
-    ids, fits = small_side(ids)
+    ids, fits = broadcast_if_small(ids, n_ids)
     if fits:
         return rows.join(ids, same, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_id_salt")
@@ -88,6 +104,16 @@ def join_ids(rows: DataFrame, ids: DataFrame, same: Column, how: str) -> DataFra
     return joined.drop("_salt", "_id_salt")
 
 
+def _fold(arrivals: DataFrame, ids: DataFrame, n_ids: int, width: int) -> DataFrame:
+    """(_cid, _t): accepted times of ids with few arrivals, one array per id."""
+    return (
+        join_ids(arrivals, ids, n_ids, F.col("_id").eqNullSafe(F.col("_cid")), "inner")
+        .groupBy("_cid")
+        .agg(F.array_sort(F.collect_list("_us")).alias("_times"))
+        .select("_cid", F.explode(_fold_accept(F.col("_times"), width)).alias("_t"))
+    )
+
+
 def _fold_accept(times: Column, width: int) -> Column:
     """Accepted times of one id, from its sorted arrival times."""
     return F.aggregate(
@@ -100,42 +126,20 @@ def _fold_accept(times: Column, width: int) -> Column:
     )
 
 
-def _accepted_times(
-    repeated: DataFrame, contested: DataFrame, id_col: str, width: int, fold_limit: int,
-) -> DataFrame:
-    """(_cid, _t): accepted arrival times of the contested ids."""
-    # Within one window span only the first delivery can be accepted.
-    short = contested.where(F.col("_hi") - F.col("_lo") < width).select("_cid", F.col("_lo").alias("_t"))
-    long = contested.where(F.col("_hi") - F.col("_lo") >= width)
-    light = long.where(F.col("_n") <= fold_limit)
-    heavy = long.where(F.col("_n") > fold_limit)
+def _chain(arrivals: DataFrame, heads: DataFrame, n_ids: int, width: int) -> DataFrame:
+    """(_cid, _t): accepted times of busy ids; ``heads`` holds their first arrivals.
 
-    arrivals = repeated.select(F.col(id_col).alias("_id"), "_us")
+    Follows "first arrival at least ``width`` later" from each head. Jumps are
+    doubled every round, so a chain of m accepted deliveries takes about log2(m)
+    rounds. All joins are on (id, time), which is unique, so the rows of one busy
+    id spread over all tasks.
+    """
     same = F.col("_id").eqNullSafe(F.col("_cid"))
-    folded = (
-        join_ids(arrivals, light.select("_cid"), same, "inner")
-        .groupBy("_cid")
-        .agg(F.array_sort(F.collect_list("_us")).alias("_times"))
-        .select("_cid", F.explode(_fold_accept(F.col("_times"), width)).alias("_t"))
-    )
-    accepted = short.unionByName(folded)
-    if heavy.isEmpty():
-        return accepted
-    busy = materialize(
-        join_ids(arrivals, heavy.select("_cid"), same, "inner")
+    arrivals = materialize(
+        join_ids(arrivals, heads.select("_cid"), n_ids, same, "inner")
         .select("_cid", F.col("_us").alias("_t")).distinct(),
         "busy",
     )
-    return accepted.unionByName(_chain(busy, heavy.select("_cid", F.col("_lo").alias("_t")), width))
-
-
-def _chain(arrivals: DataFrame, heads: DataFrame, width: int) -> DataFrame:
-    """Follow "first arrival at least ``width`` later" from each head.
-
-    Jumps are doubled every round, so a chain of m accepted deliveries takes
-    about log2(m) rounds. All joins are on (id, time), which is unique, so the
-    rows of one busy id spread over all tasks.
-    """
     queries = arrivals.select("_cid", (F.col("_t") + width).alias("_q"))
     jumps = materialize(
         next_arrival(arrivals, queries, SEARCH_WIDTHS)

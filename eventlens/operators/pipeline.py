@@ -178,10 +178,12 @@ def window_aggregate(df: DataFrame, time_col: str, window_seconds: float, fn, va
 
 
 def _merge_windows(df: DataFrame, agg: MergeableAgg) -> DataFrame:
-    """Partial states inside each input task, then one merge per window over at
-    most one state row per task."""
+    """Partial states inside each input task, then a merge of the states by window.
+
+    A window sends at most one state row per task over the shuffle; a merging task
+    holds one state per window it owns.
+    """
     state = T.StructType.fromDDL(agg.state_schema)
-    names = state.names
     partial_type = T.StructType([
         T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
         T.StructField("count", T.LongType()), *state.fields,
@@ -192,27 +194,32 @@ def _merge_windows(df: DataFrame, agg: MergeableAgg) -> DataFrame:
         T.StructField("count", T.LongType()),
     ])
 
-    def combine(held, count, values):
-        return (count, values) if held is None else (held[0] + count, agg.merge(held[1], values))
+    def add(held: dict, key: tuple, count: int, values: tuple) -> None:
+        known = held.get(key)
+        held[key] = (count, values) if known is None else (known[0] + count, agg.merge(known[1], values))
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
         for batch in batches:
             for key, values in batch.groupby(["window_start", "window_end"])[VALUE]:
-                held[key] = combine(held.get(key), len(values), agg.partial(values))
+                add(held, key, len(values), agg.partial(values))
         yield pd.DataFrame(
             [(*key, count, *values) for key, (count, values) in held.items()], columns=partial_type.names
         )
 
-    def merged(key, states: pd.DataFrame) -> pd.DataFrame:
-        held = None
-        for row in states[["count", *names]].itertuples(index=False, name=None):
-            held = combine(held, row[0], row[1:])
-        return pd.DataFrame([(*key, agg.finish(held[1]), held[0])], columns=result_type.names)
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for batch in batches:
+            for start, end, count, *values in batch.itertuples(index=False, name=None):
+                add(held, (start, end), count, tuple(values))
+        yield pd.DataFrame(
+            [(*key, agg.finish(values), count) for key, (count, values) in held.items()],
+            columns=result_type.names,
+        )
 
     flat = df.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), VALUE)
     return (
         flat.mapInPandas(partials, partial_type)
-        .groupBy("window_start", "window_end")
-        .applyInPandas(merged, result_type)
+        .repartition("window_start", "window_end")
+        .mapInPandas(merged, result_type)
     )

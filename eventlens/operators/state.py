@@ -188,29 +188,29 @@ def latency(state: MetricState) -> DataFrame:
 SNAPSHOT_COLUMNS = ["metric", "rank", "key", "value"]
 
 
+# Lists of the snapshot: state kind, length. One of the newest buckets is still open.
+_LEADERS = {
+    "product": ("top_products", metrics.TOP_PRODUCTS), "category": ("top_categories", metrics.TOP_CATEGORIES),
+    "country": ("geo_distribution", metrics.TOP_COUNTRIES), "query": ("search_terms", metrics.TOP_TERMS),
+}
+_BUCKETS = {"second": ts.RECENT_SECONDS + 1, "minute": ts.RECENT_MINUTES + 1}
+_LONGEST = max(*_BUCKETS.values(), *[k for _, k in _LEADERS.values()])
+
+
 def snapshot(state: MetricState) -> DataFrame:
     """All 22 served metrics as rows (metric, rank, key, value).
 
-    Reads ``partials`` many times: pass a written state. ``rank`` orders lists and
+    Reads ``partials`` several times: pass a written state. ``rank`` orders lists and
     is null for scalars and maps; the key of a bucket is its epoch second.
     """
     p = state.partials
+    device = key_table(p, "device").select(
+        F.lit("device_distribution").alias("metric"), F.lit(None).cast("int").alias("rank"),
+        "key", F.col("event_count").cast("double").alias("value"),
+    )
     rows = [
-        _scalars(kpis(p)),
-        _scalars(ts.current_rate(second_table(p))),
-        _scalars(latency(state)),
-        _series(minute_table(p), "minute", "revenue", "revenue_per_minute", ts.RECENT_MINUTES),
-        _series(minute_table(p), "minute", "orders", "orders_per_minute", ts.RECENT_MINUTES),
-        _series(second_table(p), "second", "event_count", "events_per_second", ts.RECENT_SECONDS),
-        _leaders(p, "product", "top_products", metrics.TOP_PRODUCTS),
-        _leaders(p, "category", "top_categories", metrics.TOP_CATEGORIES),
-        _leaders(p, "country", "geo_distribution", metrics.TOP_COUNTRIES),
-        _leaders(p, "query", "search_terms", metrics.TOP_TERMS),
-        key_table(p, "device").select(
-            F.lit("device_distribution").alias("metric"), F.lit(None).cast("int").alias("rank"),
-            "key", F.col("event_count").cast("double").alias("value"),
-        ),
-        _stages(p),
+        _scalars(kpis(p)), _scalars(ts.current_rate(second_table(p))), _scalars(latency(state)),
+        _lists(p), device, _stages(p),
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -224,19 +224,40 @@ def _scalars(one_row: DataFrame) -> DataFrame:
     )
 
 
-def _series(buckets: DataFrame, bucket: str, value: str, metric: str, n: int) -> DataFrame:
-    place = F.row_number().over(W.orderBy(bucket))  # at most n rows
-    return ts.recent_closed(buckets, bucket, n).select(
-        F.lit(metric).alias("metric"), place.alias("rank"),
-        F.unix_seconds(bucket).cast("string").alias("key"), F.col(value).cast("double").alias("value"),
-    )
+def _lists(partials: DataFrame) -> DataFrame:
+    """The four leader lists and the three recent series from one ranking per kind.
 
+    Leaders go by count, buckets by time. The rank filter makes Spark keep at most
+    the longest list per kind and task before the shuffle.
+    """
+    order = [F.desc("bucket"), F.desc("events"), F.asc("first_seen"), F.asc("key")]
+    ranked = (
+        partials.where(F.col("kind").isin(*_LEADERS, *_BUCKETS))
+        .withColumn("place", F.row_number().over(W.partitionBy("kind").orderBy(*order)))
+        .where(F.col("place") <= _LONGEST)
+    )
+    length = F.lit(0)
+    for kind, n in {**{k: n for k, (_, n) in _LEADERS.items()}, **_BUCKETS}.items():
+        length = F.when(F.col("kind") == kind, n).otherwise(length)
+    # Series drop the open bucket (place 1) and run from old to new.
+    shown = F.least(F.max("place").over(W.partitionBy("kind")), length)
+    ranked = ranked.withColumn("shown", shown).where(
+        (F.col("place") <= length) & (F.col("bucket").isNull() | (F.col("place") > 1))
+    )
 
-def _leaders(partials: DataFrame, kind: str, metric: str, k: int) -> DataFrame:
-    order = W.orderBy(F.desc("event_count"), F.asc("first_seen"), F.asc("key"))  # at most k rows
-    return metrics.top_k(key_table(partials, kind), "key", k).select(
-        F.lit(metric).alias("metric"), F.row_number().over(order).alias("rank"),
-        "key", F.col("event_count").cast("double").alias("value"),
+    def entry(metric: str, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
+
+    entries = F.when(F.col("kind") == "second", F.array(entry("events_per_second", F.col("events"))))
+    entries = entries.when(F.col("kind") == "minute", F.array(
+        entry("revenue_per_minute", F.col("revenue")), entry("orders_per_minute", F.col("orders"))))
+    for kind, (metric, _) in _LEADERS.items():
+        entries = entries.when(F.col("kind") == kind, F.array(entry(metric, F.col("events"))))
+    return ranked.select("*", F.explode(entries).alias("entry")).select(
+        "entry.metric",
+        F.when(F.col("bucket").isNull(), F.col("place")).otherwise(F.col("shown") - F.col("place") + 1).alias("rank"),
+        F.coalesce("key", F.unix_seconds("bucket").cast("string")).alias("key"),
+        "entry.value",
     )
 
 

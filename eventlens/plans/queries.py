@@ -34,12 +34,15 @@ def naive(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema])
 
 
-def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.first_delivery(fixture.resent(spark, sf_dir))
+def accepted(spark: SparkSession, sf_dir: str, columns: list[str] = FLAT_COLUMNS) -> DataFrame:
+    return dedup.first_delivery(fixture.resent(spark, sf_dir, columns=columns))
 
 
-def on_accepted(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: naive(operator(accepted(spark, sf_dir)))
+def on_accepted(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """The operator over deduplicated events; ``columns`` are the ones it reads besides
+    id and arrival time (none: all)."""
+    wanted = ["event_id", "ingest_ts", *columns] if columns else FLAT_COLUMNS
+    return lambda spark, sf_dir: naive(operator(accepted(spark, sf_dir, wanted)))
 
 
 # --- event log ------------------------------------------------------------------
@@ -58,7 +61,9 @@ def _once(kind: str, spark: SparkSession, sf_dir: str, build: Callable[[], str])
 def event_log_path(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         events = fixture.to_envelope(fixture.resent(spark, sf_dir))
-        return log.build_log(spark, events, LOG_PARTITIONS)
+        path = fresh_dir(spark, "log")
+        log.append_log(spark, events, path, LOG_PARTITIONS, keyless=False)
+        return path
 
     return _once("log", spark, sf_dir, build)
 
@@ -89,7 +94,7 @@ def route_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deliveries = fixture.resent(spark, sf_dir).select("event_id", "copy", "ingest_ts")
+    deliveries = fixture.resent(spark, sf_dir, columns=["event_id", "ingest_ts"])
     return log.route_round_robin(deliveries, LOG_PARTITIONS).select(
         "event_id", "copy", "send_no", "partition_id"
     )
@@ -110,7 +115,7 @@ def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fixture.to_envelope(fixture.resent(spark, sf_dir))
     path = fresh_dir(spark, "append")
     for part in streams.split_by_time(events, 2):
-        log.append_log(spark, part, path, LOG_PARTITIONS)
+        log.append_log(spark, part, path, LOG_PARTITIONS, keyless=False)
     return _log_rows(log.read_log(spark, path))
 
 
@@ -244,7 +249,7 @@ def dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fixture.resent(spark, sf_dir).select("event_id", "ingest_ts", "copy")
+    raw = fixture.resent(spark, sf_dir, columns=["event_id", "ingest_ts"])
     return dedup.dedup_report(raw, dedup.dedup_window(raw), F.count_if(F.col("copy") > 0))
 
 
@@ -439,37 +444,35 @@ def queries() -> dict[str, Query]:
         stream_restart_dedup, stream_dedup_exact, stream_window, stream_maintain, stream_publish,
         metric_history, stream_progress,
     ]
+    sales = ("event_type", "amount")
     over_accepted = {
-        "dedup_first": lambda df: df,
-        "pipe_filter": pipe_filter,
-        "pipe_map": pipe_map,
-        "pipe_filter_map": pipe_filter_map,
-        "pipe_window_sum": pipe_window_sum,
-        "pipe_window_udaf": pipe_window_udaf,
-        "kpi_totals": metrics.kpi_totals,
-        "active_users": metrics.active_users,
-        "active_users_approx": metrics.active_users_approx,
-        "funnel": metrics.funnel,
-        "top_products": metrics.top_products,
-        "top_categories": top_categories,
-        "geo_distribution": metrics.geo_distribution,
-        "device_distribution": metrics.device_distribution,
-        "top_search_terms": metrics.top_search_terms,
-        "revenue_per_minute": ts.revenue_per_minute,
-        "orders_per_minute": ts.orders_per_minute,
-        "events_per_second": ts.events_per_second,
-        "recent_buckets": recent_buckets,
-        "current_rate": lambda df: ts.current_rate(ts.events_per_second(df)),
-        "rolling_rate": lambda df: ts.rolling_rate(ts.events_per_second(df)),
-        "latency_percentiles": ts.latency_percentiles,
-        "funnel_conversion": lambda df: derived.funnel_conversion(metrics.funnel(df)),
-        "geo_share": derived.geo_share,
-        "device_share": derived.device_share,
-        "product_relative": derived.product_relative,
-        "refund_rate": derived.refund_rate,
+        "dedup_first": on_accepted(lambda df: df),
+        "pipe_filter": on_accepted(pipe_filter, *sales, "user_id"),
+        "pipe_map": on_accepted(pipe_map, *sales),
+        "pipe_filter_map": on_accepted(pipe_filter_map, *sales),
+        "pipe_window_sum": on_accepted(pipe_window_sum, *sales),
+        "pipe_window_udaf": on_accepted(pipe_window_udaf, *sales),
+        "kpi_totals": on_accepted(metrics.kpi_totals, *sales),
+        "active_users": on_accepted(metrics.active_users, "user_id"),
+        "active_users_approx": on_accepted(metrics.active_users_approx, "user_id"),
+        "funnel": on_accepted(metrics.funnel, "event_type"),
+        "top_products": on_accepted(metrics.top_products, "event_type", "product_name"),
+        "top_categories": on_accepted(top_categories, "event_type", "category"),
+        "geo_distribution": on_accepted(metrics.geo_distribution, "country"),
+        "device_distribution": on_accepted(metrics.device_distribution, "device"),
+        "top_search_terms": on_accepted(metrics.top_search_terms, "event_type", "query"),
+        "revenue_per_minute": on_accepted(ts.revenue_per_minute, *sales),
+        "orders_per_minute": on_accepted(ts.orders_per_minute, *sales),
+        "events_per_second": on_accepted(ts.events_per_second, "event_type"),
+        "recent_buckets": on_accepted(recent_buckets, *sales),
+        "current_rate": on_accepted(lambda df: ts.current_rate(ts.events_per_second(df)), "event_type"),
+        "rolling_rate": on_accepted(lambda df: ts.rolling_rate(ts.events_per_second(df)), "event_type"),
+        "latency_percentiles": on_accepted(ts.latency_percentiles, "ts"),
+        "funnel_conversion": on_accepted(
+            lambda df: derived.funnel_conversion(metrics.funnel(df)), "event_type"),
+        "geo_share": on_accepted(derived.geo_share, "country"),
+        "device_share": on_accepted(derived.device_share, "device"),
+        "product_relative": on_accepted(derived.product_relative, "event_type", "product_name"),
+        "refund_rate": on_accepted(derived.refund_rate, *sales),
     }
-    return (
-        {q.__name__: q for q in own}
-        | from_stats
-        | {name: on_accepted(op) for name, op in over_accepted.items()}
-    )
+    return {q.__name__: q for q in own} | from_stats | over_accepted

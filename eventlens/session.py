@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # A side is broadcast only when it was counted and has at most this many rows.
 BROADCAST_ROWS = 200_000
@@ -47,8 +48,19 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame) -> tuple[DataFrame, bool]:
-    """Hint a broadcast of a written intermediate if its row count allows it."""
-    if df.count() <= BROADCAST_ROWS:
+def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
+    """The parquet table at ``path``, or None if nothing was written there yet."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> tuple[DataFrame, bool]:
+    """Hint a broadcast of a side whose rows were counted, if the count allows it."""
+    if rows <= BROADCAST_ROWS:
         return F.broadcast(df), True
     return df, False

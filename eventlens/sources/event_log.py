@@ -2,13 +2,12 @@
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventlens.functions import hash_partition, is_present, round_robin_partition, routing_key
 from eventlens.operators.numbering import dense_number
 from eventlens.schema import LOG_REQUIRED, LOG_SCHEMA, STATE_LOG_OP, STATE_LOG_SCHEMA
-from eventlens.session import fresh_dir
+from eventlens.session import read_or_none
 
 # Default replay length and log size cap.
 REPLAY_LIMIT = 100
@@ -19,19 +18,21 @@ ARRIVAL = ["ingest_ts", "event_id", "copy"]
 
 # --- routing and offsets -----------------------------------------------------
 
-def route(events: DataFrame, n: int, arrival: list[str] = ARRIVAL) -> DataFrame:
+def route(events: DataFrame, n: int, arrival: list[str] = ARRIVAL, keyless: bool = True) -> DataFrame:
     """Add ``partition_id``: hash of the partition key, else of the user id, else by turn.
 
-    Only when some event has neither are all sends numbered in arrival order, as
-    the turn counts every send.
+    The turn counts every send, so it takes a numbering of all rows. That is done
+    only if some row has neither key, which costs a look at the two key columns;
+    ``keyless=False`` states that there is none.
     """
     key = routing_key()
-    keyed = events.withColumn("partition_id", F.when(is_present(key), hash_partition(key, n)))
-    if events.where(~F.coalesce(is_present(key), F.lit(False))).isEmpty():
-        return keyed
-    numbered = dense_number(keyed, [c for c in arrival if c in events.columns], name="_send_no")
+    has_key = F.coalesce(is_present(key), F.lit(False))
+    if not keyless or events.where(~has_key).isEmpty():
+        return events.withColumn("partition_id", hash_partition(key, n))
+    numbered = dense_number(events, [c for c in arrival if c in events.columns], name="_send_no")
+    turn = round_robin_partition(F.col("_send_no"), n)
     return numbered.withColumn(
-        "partition_id", F.coalesce("partition_id", round_robin_partition(F.col("_send_no"), n))
+        "partition_id", F.when(has_key, hash_partition(key, n)).otherwise(turn)
     ).drop("_send_no")
 
 
@@ -120,28 +121,44 @@ def scan_state_log(spark: SparkSession, path: str) -> DataFrame:
 # --- append -------------------------------------------------------------------
 
 def log_ends(spark: SparkSession, path: str) -> DataFrame | None:
-    """(partition_id, end_offset) of a parquet log, None when it does not exist yet."""
-    log = read_log(spark, path)
-    if log is None:
-        return None
-    return log.groupBy("partition_id").agg((F.max("offset") + 1).alias("end_offset"))
+    """(partition_id, end_offset) of a parquet log, None when it does not exist yet.
+
+    Every append leaves its end offsets in a small side table, so the next one need
+    not scan the log.
+    """
+    ends = read_or_none(spark, f"{path}/_ends", "partition_id int, end_offset long")
+    return None if ends is None else _max_ends(ends)
+
+
+def _max_ends(ends: DataFrame) -> DataFrame:
+    return ends.groupBy("partition_id").agg(F.max("end_offset").alias("end_offset"))
+
+
+def repair_ends(spark: SparkSession, path: str) -> None:
+    """Recompute the end offsets from the log, after an append that died before
+    recording them."""
+    ends = read_log(spark, path).select("partition_id", (F.col("offset") + 1).alias("end_offset"))
+    _max_ends(ends).write.mode("append").parquet(f"{path}/_ends")
 
 
 def append_log(
-    spark: SparkSession, events: DataFrame, path: str, n: int, arrival: list[str] = ARRIVAL,
+    spark: SparkSession, events: DataFrame, path: str, n: int,
+    arrival: list[str] = ARRIVAL, keyless: bool = True,
 ) -> None:
     """Route events, give them the next offsets of their partitions, and append them.
 
-    Output is ranged on (partition, offset): a busy partition is written by many
-    tasks and each file covers a narrow offset range, so replay can skip files.
-    One writer per log at a time.
+    Numbering leaves the rows ranged on (partition, arrival): a busy partition is
+    written by many tasks and each file covers a narrow offset range, so replay can
+    skip files. One writer per log at a time.
     """
-    placed = assign_offsets(route(events, n, arrival), arrival, log_ends(spark, path))
+    placed = assign_offsets(route(events, n, arrival, keyless), arrival, log_ends(spark, path))
     (
-        placed.repartitionByRange("partition_id", "offset")
-        .sortWithinPartitions("partition_id", "offset")
+        placed.sortWithinPartitions("partition_id", "offset")
         .write.mode("append").partitionBy("partition_id").parquet(path)
     )
+    # The numbered rows are a written intermediate: this reads three narrow columns.
+    ends = placed.select("partition_id", (F.col("offset") + 1).alias("end_offset"))
+    _max_ends(ends).write.mode("append").parquet(f"{path}/_ends")
 
 
 def append_json_log(log: DataFrame, path: str) -> None:
@@ -156,12 +173,7 @@ def append_json_log(log: DataFrame, path: str) -> None:
 
 def read_log(spark: SparkSession, path: str) -> DataFrame | None:
     """A parquet log folder, None when nothing was appended yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    return read_or_none(spark, path)
 
 
 # --- replay, retention, statistics ---------------------------------------------
@@ -220,10 +232,3 @@ def partition_stats(log: DataFrame, committed: DataFrame | None = None) -> DataF
         F.col("end_offset").alias("total_produced"),
         F.col("committed_offset").alias("total_consumed"),
     )
-
-
-def build_log(spark: SparkSession, events: DataFrame, n: int, arrival: list[str] = ARRIVAL) -> str:
-    """Append ``events`` to a new parquet log in the shared folder; returns its path."""
-    path = fresh_dir(spark, "log")
-    append_log(spark, events, path, n, arrival)
-    return path

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventlens.schema import FLAT_COLUMNS, MONEY, PURCHASE, REFUND
+from eventlens.schema import FLAT_COLUMNS, MONEY, PURCHASE, REFUND, SEARCH
 from eventlens.session import use_utc
 
 # Fixed values of the fixture.
@@ -11,8 +11,22 @@ RESEND_EVERY = 500
 RESEND_DELAYS = {1: 10, 2: 45}
 
 
-def _event_type(k: Column) -> Column:
-    kind = F.col("event_type")
+# Schemas of the tables read here; stating them saves a footer-reading job per table.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_type string",
+}
+GEO_COLUMNS, PRODUCT_COLUMNS = ["country", "device"], ["product_name", "category"]
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+def _event_type() -> Column:
+    kind, k = F.col("kind"), F.col("k")
     return (
         F.when(kind == "view", F.when(k < 70, "page_view").otherwise("search_query"))
         .when(kind == "click", "product_click")
@@ -22,68 +36,64 @@ def _event_type(k: Column) -> Column:
     )
 
 
-def commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commerce_events(spark: SparkSession, sf_dir: str, columns: list[str] = FLAT_COLUMNS) -> DataFrame:
     """One row per event of the `events` table, in the flat commerce shape.
 
-    The dimension joins are left to Spark: it broadcasts what its statistics
-    allow and shuffles otherwise.
+    Only the dimensions whose columns are asked for are joined. The join strategy is
+    left to Spark: it broadcasts what its statistics allow and shuffles otherwise.
     """
     use_utc(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-
-    k = F.get_json_object("props", "$.k").cast("long")
-    ts = F.col("ts").cast("timestamp")
-    jitter_us = F.col("event_id") * 37 % 1000 * 1000
-    base = events.select(
+    base = _read(spark, sf_dir, "events").select(
         "event_id",
-        k.alias("k"),
-        _event_type(k).alias("event_type"),
-        ts.alias("ts"),
-        F.timestamp_micros(F.unix_micros(ts) + jitter_us).alias("ingest_ts"),
+        F.get_json_object("props", "$.k").cast("long").alias("k"),
+        F.col("event_type").alias("kind"),
+        F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
         F.col("value").cast(MONEY).alias("value"),
-    )
-    has_product = F.col("event_type").isin(PRODUCT_TYPES)
-    geo = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        F.col("c_custkey"), F.col("n_name").alias("country"), F.col("c_mktsegment").alias("device"),
-    )
-    products = part.select("p_partkey", "p_name", "p_type")
-    return (
-        base
-        .join(geo, F.col("user_id") == F.col("c_custkey"), "left")
-        .join(products, has_product & (F.col("k") == F.col("p_partkey")), "left")
-        .select(
-            "event_id", "k", "event_type", "ts", "ingest_ts", "user_id", "country", "device",
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.when(F.col("event_type") == "search_query",
-                   F.concat(F.lit("q"), F.col("k").cast("string"))).alias("query"),
-            F.when(F.col("event_type").isin(PURCHASE, REFUND), F.col("value")).alias("amount"),
+    ).withColumns({
+        "event_type": _event_type(),
+        "ingest_ts": F.timestamp_micros(F.unix_micros("ts") + F.col("event_id") * 37 % 1000 * 1000),
+    })
+    if set(columns) & set(GEO_COLUMNS):
+        base = (
+            base
+            .join(_read(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"), "left")
+            .join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .withColumnsRenamed({"n_name": "country", "c_mktsegment": "device"})
         )
-    )
+    if set(columns) & set(PRODUCT_COLUMNS):
+        has_product = F.col("event_type").isin(PRODUCT_TYPES)
+        base = (
+            base
+            .join(_read(spark, sf_dir, "part"), has_product & (F.col("k") == F.col("p_partkey")), "left")
+            .withColumnsRenamed({"p_name": "product_name", "p_type": "category"})
+        )
+    derived = {
+        "query": F.when(F.col("event_type") == SEARCH, F.concat(F.lit("q"), F.col("k").cast("string"))),
+        "amount": F.when(F.col("event_type").isin(PURCHASE, REFUND), F.col("value")),
+    }
+    return base.select(*[derived[c].alias(c) if c in derived else c for c in columns])
 
 
-def resent(spark: SparkSession, sf_dir: str, late_copies: bool = True) -> DataFrame:
+def resent(
+    spark: SparkSession, sf_dir: str, late_copies: bool = True, columns: list[str] = FLAT_COLUMNS,
+) -> DataFrame:
     """`commerce_events` plus repeated deliveries of 1 event in 500.
 
     ``copy=1`` arrives 10 s after the original, ``copy=2`` (other events) 45 s after.
     One scan: each row is expanded into the deliveries it has.
     """
-    copies = [F.lit(0)]
-    copies.append(F.when(F.col("event_id") % RESEND_EVERY == 0, F.lit(1)))
+    place = F.col("event_id") % RESEND_EVERY
+    copies = F.when(place == 0, F.array(F.lit(0), F.lit(1)))
     if late_copies:
-        copies.append(F.when(F.col("event_id") % RESEND_EVERY == 1, F.lit(2)))
+        copies = copies.when(place == 1, F.array(F.lit(0), F.lit(2)))
     delay_us = F.lit(0)
     for copy, seconds in RESEND_DELAYS.items():
         delay_us = F.when(F.col("copy") == copy, F.lit(seconds * 1_000_000)).otherwise(delay_us)
     return (
-        commerce_events(spark, sf_dir)
-        .withColumn("copy", F.explode(F.filter(F.array(*copies), lambda c: c.isNotNull())))
+        commerce_events(spark, sf_dir, columns)
+        .withColumn("copy", F.explode(copies.otherwise(F.array(F.lit(0)))))
         .withColumn("ingest_ts", F.timestamp_micros(F.unix_micros("ingest_ts") + delay_us))
-        .select(*FLAT_COLUMNS, "copy")
     )
 
 

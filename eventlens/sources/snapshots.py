@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import SparkSession, functions as F, types as T
 
 from eventlens.operators.state import MetricState, PARTIAL_SCHEMA, merge_states
+from eventlens.session import read_or_none
 
 MANIFEST = T.StructType([
     T.StructField("version", T.LongType()),
@@ -27,17 +27,6 @@ MANIFEST = T.StructType([
 BATCH_ROW = T.StructType([T.StructField("batch_id", T.LongType())])
 
 
-def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The parquet table at ``path``, or None if nothing was written there yet."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 class StateTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")

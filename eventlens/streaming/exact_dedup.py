@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.operators.dedup import WINDOW_SECONDS, dedup_window, join_ids
-from eventlens.session import materialize
-from eventlens.sources.snapshots import read_or_none
+from eventlens.session import materialize, read_or_none
 
 
 class RollingDedup:
@@ -40,7 +39,7 @@ class RollingDedup:
         if seen is not None:
             same = F.col(self.id_col).eqNullSafe(F.col("_seen_id"))
             fresh = (
-                join_ids(batch.withColumn("_us", us), seen, same, "left")
+                join_ids(batch.withColumn("_us", us), seen, seen.count(), same, "left")
                 .where(F.col("_seen_us").isNull() | (F.col("_us") - F.col("_seen_us") >= width))
                 .select(*batch.columns)
             )

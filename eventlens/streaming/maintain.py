@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.operators import state as st, timeseries as ts
-from eventlens.session import materialize
-from eventlens.sources.snapshots import StateTable, read_or_none
+from eventlens.session import materialize, read_or_none
+from eventlens.sources.snapshots import StateTable
 
 HISTORY_LENGTH = 60  # fixed value: samples of the served history
 
