@@ -13,9 +13,9 @@ WINDOW_SECONDS = 30
 # Ids with at most this many deliveries are folded as one array; busier ids are
 # resolved by joins, so no array grows beyond this.
 FOLD_LIMIT = 1_000
-# Copies of each contested id when that set is too large to broadcast: spreads
-# one busy id over this many join tasks.
-JOIN_SALTS = 32
+# Ids with more deliveries than this never go through a shuffled join: there are
+# at most rows/BUSY_ROWS of them, so they are split off and joined by broadcast.
+BUSY_ROWS = 5_000_000
 # Group widths for the next-arrival search, in microseconds: 0.1 s, then 1000 s,
 # then the whole time line. Distinct microseconds bound the first group, 10,000
 # group minima the second, one row per 1000 s the third.
@@ -64,13 +64,14 @@ def dedup_window(
         F.count("*").alias("ids"),
         F.count_if(long & (F.col("_n") <= fold_limit)).alias("light"),
         F.count_if(long & (F.col("_n") > fold_limit)).alias("heavy"),
+        F.count_if(F.col("_n") > BUSY_ROWS).alias("busy"),
     ).first()
     if not sizes.ids:
         return df
     ids = contested.select("_cid")
-    same = F.col(id_col).eqNullSafe(F.col("_cid"))
-    passed = join_ids(timed, ids, sizes.ids, same, "left_anti")
-    repeated = materialize(join_ids(timed, ids, sizes.ids, same, "left_semi"), "repeated")
+    busy = (contested.where(F.col("_n") > BUSY_ROWS).select("_cid"), sizes.busy)
+    passed = join_ids(timed, id_col, ids, sizes.ids, "left_anti", busy)
+    repeated = materialize(join_ids(timed, id_col, ids, sizes.ids, "left_semi", busy), "repeated")
     arrivals = repeated.select(F.col(id_col).alias("_id"), "_us")
 
     # Within one window span only the first delivery of an id can be accepted.
@@ -80,34 +81,43 @@ def dedup_window(
         accepted = accepted.unionByName(_fold(arrivals, light, sizes.light, width))
     if sizes.heavy:
         heavy = contested.where(long & (F.col("_n") > fold_limit)).select("_cid", F.col("_lo").alias("_t"))
-        accepted = accepted.unionByName(_chain(arrivals, heavy, sizes.heavy, width))
+        accepted = accepted.unionByName(_chain(arrivals, heavy, sizes.heavy, busy, width))
 
     ties = [c for c in tie_cols if c in df.columns]
     settled = _first_by(repeated, [id_col, "_us"], ties or [F.lit(0)]).join(
-        accepted, same & (F.col("_us") == F.col("_t")), "left_semi",
+        accepted, F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_us") == F.col("_t")), "left_semi",
     )
     return passed.unionByName(settled).drop("_us")
 
 
-def join_ids(rows: DataFrame, ids: DataFrame, n_ids: int, same: Column, how: str) -> DataFrame:
-    """Join rows (with ``_us``) to a table of ``n_ids`` distinct ids.
+def join_ids(
+    rows: DataFrame, id_col: str, ids: DataFrame, n_ids: int, how: str, busy: tuple[DataFrame, int],
+) -> DataFrame:
+    """Join rows to a written table of ``n_ids`` distinct ids ``_cid`` (anti, semi, inner or left).
 
-    Broadcasts the ids if their count allows. Otherwise each id is repeated per
-    salt and the rows of one id are spread over the salts by their time.
+    Broadcasts the ids if their count allows. Otherwise the join is shuffled by id,
+    except for the ids in ``busy`` (table and count): a shuffle would bring all rows of
+    one of those to a single task, so their rows stay where they are and meet a
+    broadcast of those few ids.
     """
+    def same(left: str) -> Column:
+        return F.col(left).eqNullSafe(F.col("_cid"))
+
     ids, fits = broadcast_if_small(ids, n_ids)
-    if fits:
-        return rows.join(ids, same, how)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_id_salt")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_us"), F.lit(JOIN_SALTS)).cast("int"))
-    joined = salted.join(ids.select("*", salts), same & (F.col("_salt") == F.col("_id_salt")), how)
-    return joined.drop("_salt", "_id_salt")
+    few, n_busy = busy
+    if fits or n_busy == 0:
+        return rows.join(ids, same(id_col), how)
+    few, _ = broadcast_if_small(few, n_busy)
+    hot_ids = ids.join(few.withColumnRenamed("_cid", "_bid"), F.col("_cid").eqNullSafe(F.col("_bid")), "left_semi")
+    hot = rows.join(few, same(id_col), "left_semi").join(F.broadcast(hot_ids), same(id_col), how)
+    rest = rows.join(few, same(id_col), "left_anti").join(ids, same(id_col), how)
+    return hot.unionByName(rest)
 
 
 def _fold(arrivals: DataFrame, ids: DataFrame, n_ids: int, width: int) -> DataFrame:
     """(_cid, _t): accepted times of ids with few arrivals, one array per id."""
     return (
-        join_ids(arrivals, ids, n_ids, F.col("_id").eqNullSafe(F.col("_cid")), "inner")
+        join_ids(arrivals, "_id", ids, n_ids, "inner", (ids, 0))
         .groupBy("_cid")
         .agg(F.array_sort(F.collect_list("_us")).alias("_times"))
         .select("_cid", F.explode(_fold_accept(F.col("_times"), width)).alias("_t"))
@@ -126,7 +136,9 @@ def _fold_accept(times: Column, width: int) -> Column:
     )
 
 
-def _chain(arrivals: DataFrame, heads: DataFrame, n_ids: int, width: int) -> DataFrame:
+def _chain(
+    arrivals: DataFrame, heads: DataFrame, n_ids: int, busy: tuple[DataFrame, int], width: int,
+) -> DataFrame:
     """(_cid, _t): accepted times of busy ids; ``heads`` holds their first arrivals.
 
     Follows "first arrival at least ``width`` later" from each head. Jumps are
@@ -134,11 +146,10 @@ def _chain(arrivals: DataFrame, heads: DataFrame, n_ids: int, width: int) -> Dat
     rounds. All joins are on (id, time), which is unique, so the rows of one busy
     id spread over all tasks.
     """
-    same = F.col("_id").eqNullSafe(F.col("_cid"))
     arrivals = materialize(
-        join_ids(arrivals, heads.select("_cid"), n_ids, same, "inner")
+        join_ids(arrivals, "_id", heads.select("_cid"), n_ids, "inner", busy)
         .select("_cid", F.col("_us").alias("_t")).distinct(),
-        "busy",
+        "arrivals",
     )
     queries = arrivals.select("_cid", (F.col("_t") + width).alias("_q"))
     jumps = materialize(
@@ -225,11 +236,11 @@ def dedup_report(raw: DataFrame, accepted: DataFrame, injected: int | Column | N
         injected = F.lit(None).cast("long")
     elif isinstance(injected, int):
         injected = F.lit(injected).cast("long")
-    totals = raw.agg(F.count("*").alias("delivered"), injected.alias("duplicates_injected"))
-    kept = accepted.agg(F.count("*").alias("accepted"))
+    kept = accepted.agg(F.count("*")).scalar()
     rejected = F.col("delivered") - F.col("accepted")
     ratio = F.round(rejected / F.col("duplicates_injected") * 100).cast("long")
-    return totals.join(F.broadcast(kept)).select(
+    totals = raw.agg(F.count("*").alias("delivered"), injected.alias("duplicates_injected"))
+    return totals.withColumn("accepted", kept).select(
         "delivered", "accepted", rejected.alias("duplicates_rejected"), "duplicates_injected",
         F.when(F.col("duplicates_injected") > 0, F.least(F.lit(100).cast("long"), ratio))
         .alias("dedup_effectiveness_pct"),

@@ -44,9 +44,9 @@ def geo_share(df: DataFrame, k: int = metrics.TOP_COUNTRIES, shown: int = SHOWN_
 def device_share(df: DataFrame) -> DataFrame:
     """Share of each device among all events with a device."""
     counts = metrics.device_distribution(df)
-    total = counts.agg(F.sum("event_count").alias("total"))
-    return counts.join(F.broadcast(total)).select(
-        "device", "event_count", percent(F.col("event_count"), F.col("total")).alias("share_pct")
+    total = counts.agg(F.sum("event_count")).scalar()
+    return counts.select(
+        "device", "event_count", percent(F.col("event_count"), total).alias("share_pct")
     )
 
 

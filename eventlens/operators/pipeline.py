@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 VALUE = "value"
+_HELD_WINDOWS = 50_000  # window states a task holds before it passes them on
 
 # Python aggregates and the Spark aggregates that compute them.
 _BUILT_IN = {
@@ -180,8 +181,8 @@ def window_aggregate(df: DataFrame, time_col: str, window_seconds: float, fn, va
 def _merge_windows(df: DataFrame, agg: MergeableAgg) -> DataFrame:
     """Partial states inside each input task, then a merge of the states by window.
 
-    A window sends at most one state row per task over the shuffle; a merging task
-    holds one state per window it owns.
+    A window sends about one state row per task over the shuffle. The merge reads
+    them in window order and holds one state at a time.
     """
     state = T.StructType.fromDDL(agg.state_schema)
     partial_type = T.StructType([
@@ -194,32 +195,41 @@ def _merge_windows(df: DataFrame, agg: MergeableAgg) -> DataFrame:
         T.StructField("count", T.LongType()),
     ])
 
-    def add(held: dict, key: tuple, count: int, values: tuple) -> None:
-        known = held.get(key)
-        held[key] = (count, values) if known is None else (known[0] + count, agg.merge(known[1], values))
+    def join(known: tuple | None, count: int, values: tuple) -> tuple:
+        return (count, values) if known is None else (known[0] + count, agg.merge(known[1], values))
+
+    def rows(held: dict) -> pd.DataFrame:
+        return pd.DataFrame(
+            [(*key, count, *values) for key, (count, values) in held.items()], columns=partial_type.names
+        )
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
         for batch in batches:
             for key, values in batch.groupby(["window_start", "window_end"])[VALUE]:
-                add(held, key, len(values), agg.partial(values))
-        yield pd.DataFrame(
-            [(*key, count, *values) for key, (count, values) in held.items()], columns=partial_type.names
-        )
+                held[key] = join(held.get(key), len(values), agg.partial(values))
+            if len(held) > _HELD_WINDOWS:
+                yield rows(held)
+                held = {}
+        yield rows(held)
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
+        key, known = None, None
         for batch in batches:
+            done = []
             for start, end, count, *values in batch.itertuples(index=False, name=None):
-                add(held, (start, end), count, tuple(values))
-        yield pd.DataFrame(
-            [(*key, agg.finish(values), count) for key, (count, values) in held.items()],
-            columns=result_type.names,
-        )
+                if key is not None and key != (start, end):
+                    done.append((*key, agg.finish(known[1]), known[0]))
+                    known = None
+                key, known = (start, end), join(known, count, tuple(values))
+            yield pd.DataFrame(done, columns=result_type.names)
+        if key is not None:
+            yield pd.DataFrame([(*key, agg.finish(known[1]), known[0])], columns=result_type.names)
 
     flat = df.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), VALUE)
     return (
         flat.mapInPandas(partials, partial_type)
         .repartition("window_start", "window_end")
+        .sortWithinPartitions("window_start", "window_end")
         .mapInPandas(merged, result_type)
     )

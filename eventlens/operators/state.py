@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from eventlens.functions import is_present
 from eventlens.operators import metrics, timeseries as ts
@@ -49,6 +49,14 @@ def build_state(accepted: DataFrame, time_col: str = "ingest_ts") -> MetricState
     return MetricState(_partials(accepted, time_col), ts.newest_latencies(accepted))
 
 
+def empty_state(spark: SparkSession) -> MetricState:
+    """State before the first event: every metric reads as 0 or as an empty list."""
+    return MetricState(
+        spark.createDataFrame([], PARTIAL_SCHEMA),
+        spark.createDataFrame([], "ingest_ts timestamp, event_id string, latency_ms double"),
+    )
+
+
 def with_duplicates(state: MetricState, duplicates: DataFrame) -> MetricState:
     """Add the count of rejected deliveries, a one-row frame with ``duplicates_rejected``."""
     return MetricState(state.partials.unionByName(_duplicate_row(duplicates)), state.samples)

@@ -104,7 +104,7 @@ def latency_from_samples(samples: DataFrame, total: DataFrame) -> DataFrame:
 
     mean = F.aggregate("xs", F.lit(0.0), lambda a, x: a + x) / m
     return (
-        samples.agg(ordered.alias("newest")).join(F.broadcast(total))
+        samples.agg(ordered.alias("newest")).withColumn("n", total.select("n").scalar())
         .select("n", F.array_sort(window).alias("xs"))
         .select(
             F.when(ready, rank(0.50)).otherwise(0.0).alias("p50_latency_ms"),

@@ -212,6 +212,19 @@ def retain_newest_half(log: DataFrame, max_bytes: int = LOG_MAX_BYTES) -> DataFr
     )
 
 
+def rotate_log(spark: SparkSession, path: str, new_path: str, max_bytes: int = LOG_MAX_BYTES) -> None:
+    """Write the retained part of a log as a new log, which readers then switch to.
+
+    Offsets go on where they were: the end offsets move along.
+    """
+    (
+        retain_newest_half(read_log(spark, path), max_bytes)
+        .sortWithinPartitions("partition_id", "offset")
+        .write.partitionBy("partition_id").parquet(new_path)
+    )
+    log_ends(spark, path).write.parquet(f"{new_path}/_ends")
+
+
 def partition_stats(log: DataFrame, committed: DataFrame | None = None) -> DataFrame:
     """End offset, committed offset, lag and volumes of each partition.
 

@@ -16,7 +16,7 @@ import uuid
 
 from pyspark.sql import SparkSession, functions as F, types as T
 
-from eventlens.operators.state import MetricState, PARTIAL_SCHEMA, merge_states
+from eventlens.operators.state import MetricState, PARTIAL_SCHEMA, empty_state, merge_states
 from eventlens.session import read_or_none
 
 MANIFEST = T.StructType([
@@ -72,12 +72,12 @@ class StateTable:
 
     # --- reading ---
 
-    def read(self) -> MetricState | None:
-        """Base plus every newer batch, merged; None when nothing was ever written."""
+    def read(self) -> MetricState:
+        """Base plus every newer batch, merged; the empty state when nothing was written."""
         last = self.latest()
         return self._merged(last, self.batch_ids(last.high_water if last else -1))
 
-    def _merged(self, last, ids: list[int]) -> MetricState | None:
+    def _merged(self, last, ids: list[int]) -> MetricState:
         parts = [self._load(last.folder)] if last else []
         if ids:
             folders = [f"{self.path}/batches/batch_id={i}" for i in ids]
@@ -86,7 +86,7 @@ class StateTable:
                 self.spark.read.parquet(*[f"{f}/samples" for f in folders]),
             ))
         if not parts:
-            return None
+            return empty_state(self.spark)
         # One base alone is already merged; batches may share keys.
         return merge_states(*parts) if ids else parts[0]
 
@@ -100,7 +100,5 @@ class StateTable:
         """Fold all complete batches into a new base version; readers then skip them."""
         last = self.latest()
         ids = self.batch_ids(last.high_water if last else -1)
-        state = self._merged(last, ids)
-        if state is None:
-            raise ValueError("nothing to compact")
-        return self.write_base(state, ids[-1] if ids else last.high_water)
+        high_water = ids[-1] if ids else (last.high_water if last else -1)
+        return self.write_base(self._merged(last, ids), high_water)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlens.operators.dedup import WINDOW_SECONDS, dedup_window, join_ids
+from eventlens.operators.dedup import BUSY_ROWS, WINDOW_SECONDS, dedup_window, join_ids
 from eventlens.session import materialize, read_or_none
 
 
@@ -37,10 +37,9 @@ class RollingDedup:
         seen = self._seen_before(batch_id)
         fresh = batch
         if seen is not None:
-            same = F.col(self.id_col).eqNullSafe(F.col("_seen_id"))
             fresh = (
-                join_ids(batch.withColumn("_us", us), seen, seen.count(), same, "left")
-                .where(F.col("_seen_us").isNull() | (F.col("_us") - F.col("_seen_us") >= width))
+                join_ids(batch, self.id_col, seen, seen.count(), "left", self._busy(batch))
+                .where(F.col("_seen_us").isNull() | (us - F.col("_seen_us") >= width))
                 .select(*batch.columns)
             )
         accepted = materialize(
@@ -48,10 +47,18 @@ class RollingDedup:
         )
         accepted.write.mode("overwrite").parquet(f"{self.path}/accepted/batch_id={batch_id}")
         self._write_seen(batch, accepted, seen, width, batch_id)
-        batch.agg(F.count("*").alias("delivered")).join(
-            F.broadcast(accepted.agg(F.count("*").alias("accepted")))
+        batch.agg(F.count("*").alias("delivered")).withColumn(
+            "accepted", accepted.agg(F.count("*")).scalar()
         ).write.mode("overwrite").parquet(f"{self.path}/report/batch_id={batch_id}")
 
+    def _busy(self, batch: DataFrame) -> tuple[DataFrame, int]:
+        """Ids that make up a large part of a batch; a batch below that size has none."""
+        if batch.count() <= BUSY_ROWS:
+            return batch.select(F.col(self.id_col).alias("_cid")), 0
+        counts = batch.groupBy(F.col(self.id_col).alias("_cid")).agg(F.count("*").alias("_n"))
+        busy = materialize(counts.where(F.col("_n") > BUSY_ROWS).select("_cid"), "busy")
+        return busy, busy.count()
+
     def _seen_before(self, batch_id: int) -> DataFrame | None:
         seen = read_or_none(self.spark, f"{self.path}/seen")
         if seen is None:
@@ -61,11 +68,11 @@ class RollingDedup:
         return None if newest is None else earlier.where(F.col("batch_id") == newest).drop("batch_id")
 
     def _write_seen(self, batch, accepted, seen, width: int, batch_id: int) -> None:
-        last = accepted.groupBy(F.col(self.id_col).alias("_seen_id")).agg(
+        last = accepted.groupBy(F.col(self.id_col).alias("_cid")).agg(
             F.max(F.unix_micros(self.time_col)).alias("_seen_us")
         )
         if seen is not None:
-            last = last.unionByName(seen).groupBy("_seen_id").agg(F.max("_seen_us").alias("_seen_us"))
+            last = last.unionByName(seen).groupBy("_cid").agg(F.max("_seen_us").alias("_seen_us"))
         now = batch.agg(F.max(F.unix_micros(self.time_col))).first()[0]
         if now is not None:
             last = last.where(F.col("_seen_us") > now - width)

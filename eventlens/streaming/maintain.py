@@ -50,8 +50,8 @@ def publish_batches(
 def history_sample(state: st.MetricState) -> DataFrame:
     """One row: current and mean rate, p50 and p99."""
     rate = ts.current_rate(st.second_table(state.partials))
-    ranks = st.latency(state).select("p50_latency_ms", "p99_latency_ms")
-    return rate.join(F.broadcast(ranks))
+    ranks = st.latency(state).select(F.struct("p50_latency_ms", "p99_latency_ms")).scalar()
+    return rate.withColumn("ranks", ranks).select("current_eps", "avg_eps_5s", "ranks.*")
 
 
 def published_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
