@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 # A side is broadcast only when it was counted and has at most this many rows.
 BROADCAST_ROWS = 200_000
 
+_local_dirs: dict[str, str] = {}  # fallback folder per local application
+
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """Epoch arithmetic on NTZ columns needs a session time zone without an offset."""
@@ -27,9 +29,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="eventlens-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="eventlens-")
+    return _local_dirs[app]
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

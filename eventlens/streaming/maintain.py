@@ -19,7 +19,9 @@ def fold_batches(table: StateTable) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Two aggregates read the batch; writing it first keeps the stateful part
         # above from running twice.
-        table.write_batch(batch_id, st.build_state(materialize(batch, "batch")))
+        rows = materialize(batch, "batch")
+        if not rows.isEmpty():
+            table.write_batch(batch_id, st.build_state(rows))
 
     return handle
 
