@@ -21,9 +21,18 @@ def is_refund() -> Column:
     return F.col("event_type") == REFUND
 
 
-def amount_of(condition: Column) -> Column:
-    """Sum of ``amount`` over matching rows; a missing amount counts as 0."""
-    return F.coalesce(F.sum(F.when(condition, F.coalesce(F.col("amount"), F.lit(0)))), F.lit(0))
+def cents_of(condition: Column) -> Column:
+    """Sum of ``amount`` over matching rows in whole cents; a missing amount counts as 0.
+
+    A sum of integers does not depend on the order of the rows, and unlike a wide
+    decimal it is a plain long in the aggregation buffer.
+    """
+    cents = F.rint(F.col("amount").cast("double") * 100).cast("long")
+    return F.coalesce(F.sum(F.when(condition, cents)), F.lit(0).cast("long"))
+
+
+def money(cents: str | Column) -> Column:
+    return (F.col(cents) if isinstance(cents, str) else cents) / F.lit(100.0)
 
 
 def ratio_or_zero(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -34,18 +43,18 @@ def kpi_totals(df: DataFrame) -> DataFrame:
     """Events, revenue, orders, refunds and average order value, in one pass."""
     totals = df.agg(
         F.count("*").alias("total_events"),
-        amount_of(is_purchase()).alias("revenue"),
+        cents_of(is_purchase()).alias("revenue"),
         F.count_if(is_purchase()).alias("total_orders"),
         F.count_if(is_refund()).alias("refunds"),
-        amount_of(is_refund()).alias("refunded"),
+        cents_of(is_refund()).alias("refunded"),
     )
     return totals.select(
         "total_events",
-        F.col("revenue").cast("double").alias("total_revenue"),
+        money("revenue").alias("total_revenue"),
         "total_orders",
-        ratio_or_zero(F.col("revenue"), F.col("total_orders")).alias("avg_order_value"),
+        ratio_or_zero(money("revenue"), F.col("total_orders")).alias("avg_order_value"),
         "refunds",
-        F.col("refunded").cast("double").alias("refund_amount"),
+        money("refunded").alias("refund_amount"),
     )
 
 

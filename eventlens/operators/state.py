@@ -18,8 +18,6 @@ from eventlens.functions import is_present
 from eventlens.operators import metrics, timeseries as ts
 from eventlens.schema import FUNNEL_STAGES, PURCHASE, SEARCH
 
-SUM_TYPE = T.DecimalType(38, 2)
-
 # Kinds of state rows: keyed by text, by a moment, or without a key.
 TEXT_KINDS = ["event_type", "product", "category", "country", "device", "query", "user"]
 TIME_KINDS = ["second", "minute"]
@@ -32,8 +30,8 @@ PARTIAL_SCHEMA = T.StructType([
     T.StructField("events", T.LongType()),
     T.StructField("orders", T.LongType()),
     T.StructField("refunds", T.LongType()),
-    T.StructField("revenue", SUM_TYPE),
-    T.StructField("refunded", SUM_TYPE),
+    T.StructField("revenue", T.LongType()),  # cents
+    T.StructField("refunded", T.LongType()),  # cents
     T.StructField("first_seen", T.TimestampType()),
 ])
 
@@ -88,8 +86,8 @@ def _partials(df: DataFrame, time_col: str) -> DataFrame:
         F.count("*").alias("events"),
         F.count_if(metrics.is_purchase()).alias("orders"),
         F.count_if(metrics.is_refund()).alias("refunds"),
-        metrics.amount_of(metrics.is_purchase()).alias("revenue"),
-        metrics.amount_of(metrics.is_refund()).alias("refunded"),
+        metrics.cents_of(metrics.is_purchase()).alias("revenue"),
+        metrics.cents_of(metrics.is_refund()).alias("refunded"),
         F.min("seen_at").alias("first_seen"),
     )
     # In a grouping id the bit of a key is 0 where the row is grouped by it.
@@ -165,9 +163,9 @@ def kpis(partials: DataFrame) -> DataFrame:
         .alias("duplicates_rejected"),
     )
     return sums.select(
-        F.col("revenue").cast("double").alias("total_revenue"), "total_orders", "total_events",
-        metrics.ratio_or_zero(F.col("revenue"), F.col("total_orders")).alias("avg_order_value"),
-        "active_users", "refunds", F.col("refunded").cast("double").alias("refund_amount"),
+        metrics.money("revenue").alias("total_revenue"), "total_orders", "total_events",
+        metrics.ratio_or_zero(metrics.money("revenue"), F.col("total_orders")).alias("avg_order_value"),
+        "active_users", "refunds", metrics.money("refunded").alias("refund_amount"),
         "duplicates_rejected",
     )
 
@@ -184,7 +182,7 @@ def second_table(partials: DataFrame) -> DataFrame:
 
 def minute_table(partials: DataFrame) -> DataFrame:
     return of_kind(partials, "minute").select(
-        F.col("bucket").alias("minute"), F.col("revenue").cast("double").alias("revenue"), "orders"
+        F.col("bucket").alias("minute"), metrics.money("revenue").alias("revenue"), "orders"
     )
 
 
@@ -258,7 +256,7 @@ def _lists(partials: DataFrame) -> DataFrame:
 
     entries = F.when(F.col("kind") == "second", F.array(entry("events_per_second", F.col("events"))))
     entries = entries.when(F.col("kind") == "minute", F.array(
-        entry("revenue_per_minute", F.col("revenue")), entry("orders_per_minute", F.col("orders"))))
+        entry("revenue_per_minute", metrics.money("revenue")), entry("orders_per_minute", F.col("orders"))))
     for kind, (metric, _) in _LEADERS.items():
         entries = entries.when(F.col("kind") == kind, F.array(entry(metric, F.col("events"))))
     return ranked.select("*", F.explode(entries).alias("entry")).select(

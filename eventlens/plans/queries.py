@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def naive(df: DataFrame) -> DataFrame:
-    """Timestamps without zone and money as double, as the tables have them."""
+    """Timestamps without zone and decimals as double, as the tables have them."""
     def plain(f: T.StructField):
         if isinstance(f.dataType, T.TimestampType):
             return F.col(f.name).cast("timestamp_ntz").alias(f.name)
@@ -202,7 +202,8 @@ def pipe_filter_map(df: DataFrame) -> DataFrame:
 
 
 def pipe_window_sum(df: DataFrame) -> DataFrame:
-    return _purchases().aggregate(3600, sum).apply(df).windows[0]
+    exact = _purchases().map(lambda v: v.cast("decimal(18,2)"))  # a sum that no row order changes
+    return exact.aggregate(3600, sum).apply(df).windows[0]
 
 
 # Spread of the order values in a window, in cents while merging.
@@ -215,7 +216,7 @@ SPREAD = MergeableAgg(
 
 
 def pipe_window_udaf(df: DataFrame) -> DataFrame:
-    cents = _purchases().map(lambda v: (v * 100).cast("long"))
+    cents = _purchases().map(lambda v: F.rint(v * 100).cast("long"))
     return cents.aggregate(3600, SPREAD).apply(df).windows[0]
 
 
@@ -269,32 +270,34 @@ def metrics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _state_rows(state: st.MetricState) -> DataFrame:
     return naive(state.partials.select(
         "kind", "key", F.unix_seconds("bucket").alias("bucket"), "events", "orders", "refunds",
-        "revenue", "refunded", "first_seen",
+        metrics.money("revenue").alias("revenue"), metrics.money("refunded").alias("refunded"), "first_seen",
     ))
 
 
-def _head_and_tail(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return streams.split_by_time(accepted(spark, sf_dir), 2)
+def _time_slices(spark: SparkSession, sf_dir: str, n: int) -> list[DataFrame]:
+    """The accepted deliveries, deduplicated and written once, in n time spans."""
+    return streams.split_by_time(materialize(accepted(spark, sf_dir), "accepted"), n)
 
 
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of the older half merged with state of the newer half."""
-    head, tail = _head_and_tail(spark, sf_dir)
+    head, tail = _time_slices(spark, sf_dir, 2)
     return _state_rows(st.merge_states(st.build_state(head), st.build_state(tail)))
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two versions written, the newest read back."""
     table = StateTable(spark, fresh_dir(spark, "snapshots"))
-    table.write_base(st.build_state(_head_and_tail(spark, sf_dir)[0]))
-    table.write_base(st.build_state(accepted(spark, sf_dir)))
+    head, tail = _time_slices(spark, sf_dir, 2)
+    table.write_base(st.build_state(head))
+    table.write_base(st.build_state(head.unionByName(tail)))
     return _state_rows(table.read())
 
 
 def compact_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches folded into a base version, then one more batch on top of it."""
     table = StateTable(spark, fresh_dir(spark, "compaction"))
-    first, second, third = streams.split_by_time(accepted(spark, sf_dir), 3)
+    first, second, third = _time_slices(spark, sf_dir, 3)
     table.write_batch(0, st.build_state(first))
     table.write_batch(1, st.build_state(second))
     table.compact()
@@ -374,7 +377,7 @@ def stream_dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily revenue of a deduplicated stream; a day is emitted once, when it closes."""
     landing = _Landing(spark, sf_dir, 2)
-    revenue = F.coalesce(F.sum(F.when(metrics.is_purchase(), F.col("amount"))), F.lit(0)).cast("double")
+    revenue = metrics.money(metrics.cents_of(metrics.is_purchase()))
     for number in (0, 1, 2):
         landing.land(number)
         days = streams.windowed_stream(

@@ -66,4 +66,3 @@ FLAT_COLUMNS = [
     "event_id", "event_type", "ts", "ingest_ts", "user_id",
     "country", "device", "product_name", "category", "query", "amount",
 ]
-MONEY = T.DecimalType(18, 2)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventlens.schema import FLAT_COLUMNS, MONEY, PURCHASE, REFUND, SEARCH
+from eventlens.schema import FLAT_COLUMNS, PURCHASE, REFUND, SEARCH
 from eventlens.session import use_utc
 
 # Fixed values of the fixture.
@@ -49,7 +49,7 @@ def commerce_events(spark: SparkSession, sf_dir: str, columns: list[str] = FLAT_
         F.col("event_type").alias("kind"),
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
-        F.col("value").cast(MONEY).alias("value"),
+        "value",
     ).withColumns({
         "event_type": _event_type(),
         "ingest_ts": F.timestamp_micros(F.unix_micros("ts") + F.col("event_id") * 37 % 1000 * 1000),
@@ -106,9 +106,7 @@ def to_envelope(flat: DataFrame) -> DataFrame:
         F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("user_id"),
         F.concat(F.lit("s_"), F.col("user_id").cast("string")).alias("session_id"),
         F.struct(
-            "query", "product_name", "category",
-            F.col("amount").cast("double").alias("amount"),
-            "country", "device",
+            "query", "product_name", "category", "amount", "country", "device",
         ).alias("data"),
         F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("partition_key"),
     ]

@@ -44,3 +44,19 @@ def test_health_bands(spark, lag, pct, band):
     p = fn.lag_percent(F.lit(lag))
     got = spark.range(1).select(p, fn.health_band(p, 70, 30)).first()
     assert got[0] == pytest.approx(pct) and got[1] == band
+
+
+def test_shared_folder(tmp_path):
+    """The configured folder is used; only a local session may do without."""
+    from types import SimpleNamespace as NS
+
+    from eventlens.session import shared_dir
+
+    def session(master, folder=None):
+        return NS(conf=NS(get=lambda key, default: folder or default),
+                  sparkContext=NS(master=master, applicationId=master))
+
+    assert shared_dir(session("spark://h:7077", f"{tmp_path}/")) == str(tmp_path)
+    assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
+    with pytest.raises(ValueError):
+        shared_dir(session("spark://h:7077"))
