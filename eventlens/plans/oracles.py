@@ -152,20 +152,20 @@ _ORIGINALS = "deliveries WHERE copy < 2"
 _FIRST = f"SELECT {_ROW} FROM accepted"
 
 _STATE = """
-SELECT 'total' AS kind, NULL AS key, NULL::BIGINT AS bucket, * FROM (SELECT {m} FROM accepted)
-UNION ALL SELECT 'event_type', event_type, NULL, {m} FROM accepted GROUP BY event_type
-UNION ALL SELECT 'product', product_name, NULL, {m} FROM accepted
+SELECT 'total' AS kind, '' AS key, * FROM (SELECT {m} FROM accepted)
+UNION ALL SELECT 'event_type', event_type, {m} FROM accepted GROUP BY event_type
+UNION ALL SELECT 'product', product_name, {m} FROM accepted
   WHERE event_type = 'purchase' AND product_name <> '' GROUP BY product_name
-UNION ALL SELECT 'category', category, NULL, {m} FROM accepted
+UNION ALL SELECT 'category', category, {m} FROM accepted
   WHERE event_type = 'purchase' AND category <> '' GROUP BY category
-UNION ALL SELECT 'country', country, NULL, {m} FROM accepted WHERE country IS NOT NULL GROUP BY country
-UNION ALL SELECT 'device', device, NULL, {m} FROM accepted WHERE device IS NOT NULL GROUP BY device
-UNION ALL SELECT 'query', query, NULL, {m} FROM accepted WHERE query IS NOT NULL GROUP BY query
-UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), NULL, {m} FROM accepted
+UNION ALL SELECT 'country', country, {m} FROM accepted WHERE country IS NOT NULL GROUP BY country
+UNION ALL SELECT 'device', device, {m} FROM accepted WHERE device IS NOT NULL GROUP BY device
+UNION ALL SELECT 'query', query, {m} FROM accepted WHERE query IS NOT NULL GROUP BY query
+UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), {m} FROM accepted
   WHERE user_id IS NOT NULL GROUP BY user_id
-UNION ALL SELECT 'second', NULL, CAST(epoch(date_trunc('second', ingest_ts)) AS BIGINT), {m} FROM accepted
+UNION ALL SELECT 'second', CAST(CAST(epoch(date_trunc('second', ingest_ts)) AS BIGINT) AS VARCHAR), {m} FROM accepted
   GROUP BY date_trunc('second', ingest_ts)
-UNION ALL SELECT 'minute', NULL, CAST(epoch(date_trunc('minute', ingest_ts)) AS BIGINT), {m} FROM accepted
+UNION ALL SELECT 'minute', CAST(CAST(epoch(date_trunc('minute', ingest_ts)) AS BIGINT) AS VARCHAR), {m} FROM accepted
   GROUP BY date_trunc('minute', ingest_ts)
 """.format(m="""count(*) AS events, count(*) FILTER (event_type = 'purchase') AS orders,
   count(*) FILTER (event_type = 'refund') AS refunds,
@@ -187,7 +187,7 @@ SELECT '{metric}', CAST(row_number() OVER (ORDER BY event_count DESC, first_seen
        {key}, CAST(event_count AS DOUBLE) FROM {table}"""
 
     def scalar(metric, value, source=""):
-        return f"SELECT '{metric}', NULL, NULL, CAST({value} AS DOUBLE) {source}"
+        return f"SELECT '{metric}', 0, '', CAST({value} AS DOUBLE) {source}"
 
     parts = [
         series("revenue_per_minute", "minutes", "minute", "revenue", 20),
@@ -197,7 +197,7 @@ SELECT '{metric}', CAST(row_number() OVER (ORDER BY event_count DESC, first_seen
         leaders("top_categories", "categories", "category"),
         leaders("geo_distribution", "countries", "country"),
         leaders("search_terms", "terms", "query"),
-        "SELECT 'device_distribution', NULL, device, CAST(count(*) AS DOUBLE) FROM accepted "
+        "SELECT 'device_distribution', 0, device, CAST(count(*) AS DOUBLE) FROM accepted "
         "WHERE device IS NOT NULL GROUP BY device",
         "SELECT 'funnel', stage_no, stage, CAST(event_count AS DOUBLE) FROM stages",
         *[scalar(c, c, "FROM kpis") for c in

@@ -258,18 +258,27 @@ def _written(state: st.MetricState) -> st.MetricState:
     return st.MetricState(materialize(state.partials, "state"), materialize(state.samples, "samples"))
 
 
+def _snapshot_rows(snapshot: DataFrame) -> DataFrame:
+    """Snapshot rows without nulls: rank 0 where there is no order, key '' for scalars."""
+    return snapshot.select(
+        "metric", F.coalesce("rank", F.lit(0)).alias("rank"), F.coalesce("key", F.lit("")).alias("key"), "value"
+    )
+
+
 def metrics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All served metrics from one pass over the accepted deliveries."""
+    """All served metrics from one pass over the accepted deliveries, written once."""
     raw = fixture.resent(spark, sf_dir)
-    state = _written(st.build_state(dedup.first_delivery(raw)))
-    kept = st.of_kind(state.partials, st.TOTAL).agg(F.sum("events")).scalar()
-    rejected = raw.agg(F.count("*").alias("n")).select((F.col("n") - kept).alias("duplicates_rejected"))
-    return st.snapshot(st.with_duplicates(state, rejected))
+    clean = materialize(dedup.first_delivery(raw), "accepted")
+    rejected = raw.agg((F.count("*") - F.lit(clean.count())).alias("duplicates_rejected"))
+    state = st.with_duplicates(st.build_state(clean), rejected)
+    return _snapshot_rows(st.snapshot(_written(state)))
 
 
 def _state_rows(state: st.MetricState) -> DataFrame:
+    """State with the bucket's epoch second as its key, and money in units."""
     return naive(state.partials.select(
-        "kind", "key", F.unix_seconds("bucket").alias("bucket"), "events", "orders", "refunds",
+        "kind", F.coalesce("key", F.unix_seconds("bucket").cast("string"), F.lit("")).alias("key"),
+        "events", "orders", "refunds",
         metrics.money("revenue").alias("revenue"), metrics.money("refunded").alias("refunded"), "first_seen",
     ))
 
@@ -409,7 +418,8 @@ def _publish(spark: SparkSession, sf_dir: str, slices: int, **options) -> str:
 
 
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maintain.published_snapshot(spark, _publish(spark, sf_dir, 2, batches_per_base=2))
+    published = maintain.published_snapshot(spark, _publish(spark, sf_dir, 2, batches_per_base=2))
+    return _snapshot_rows(published)
 
 
 def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
