@@ -1,7 +1,10 @@
 """Session helpers: UTC, shared scratch space, written intermediates, checked broadcasts."""
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -9,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 # A side is broadcast only when it was counted and has at most this many rows.
 BROADCAST_ROWS = 200_000
 
+_open = threading.local()  # intermediates of the open `stages` blocks
 _local_dirs: dict[str, str] = {}  # fallback folder per local application
 
 
@@ -44,13 +48,37 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read and two consumers of the
-    result see the same rows even when the plan above is not deterministic.
+    result see the same rows even when the plan above is not deterministic. The
+    files stay until the `stages` block around the call ends, if there is one.
     """
     path = fresh_dir(df.sparkSession, name)
+    for written in getattr(_open, "blocks", [])[-1:]:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediates written inside the block when it ends.
+
+    For work that leaves its result in a table, such as a micro-batch.
+    """
+    blocks = _open.__dict__.setdefault("blocks", [])
+    blocks.append([])
+    try:
+        yield
+    finally:
+        for path in blocks.pop():
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote; nothing happens if it is gone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
     """The parquet table at ``path``, or None if nothing was written there yet."""
     reader = spark.read.schema(schema) if schema else spark.read

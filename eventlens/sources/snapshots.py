@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import SparkSession, functions as F, types as T
 
 from eventlens.operators.state import MetricState, PARTIAL_SCHEMA, empty_state, merge_states
-from eventlens.session import read_or_none
+from eventlens.session import delete_folder, read_or_none
 
 MANIFEST = T.StructType([
     T.StructField("version", T.LongType()),
@@ -34,8 +34,8 @@ class StateTable:
     # --- batches ---
 
     def write_batch(self, batch_id: int, state: MetricState) -> None:
-        """Store the state of one batch. A retried batch overwrites itself; the
-        marker row is written last, so a half-written batch is not read."""
+        """Store the state of one batch. A retried batch overwrites itself; the marker
+        row is written last, so a batch is read only once it is complete."""
         folder = f"{self.path}/batches/batch_id={batch_id}"
         state.partials.write.mode("overwrite").parquet(f"{folder}/partials")
         state.samples.write.mode("overwrite").parquet(f"{folder}/samples")
@@ -102,3 +102,17 @@ class StateTable:
         ids = self.batch_ids(last.high_water if last else -1)
         high_water = ids[-1] if ids else (last.high_water if last else -1)
         return self.write_base(self._merged(last, ids), high_water)
+
+    def drop_folded(self) -> None:
+        """Delete what no reader needs any more: batches folded into the base before the
+        newest one, and the bases before that. Readers of the last two bases go on."""
+        manifest = read_or_none(self.spark, f"{self.path}/manifest", MANIFEST)
+        bases = [] if manifest is None else manifest.orderBy(F.desc("version")).collect()
+        if len(bases) < 2:
+            return
+        done = read_or_none(self.spark, f"{self.path}/batches/*/done", BATCH_ROW)
+        if done is not None:
+            for row in done.where(F.col("batch_id") <= bases[1].high_water).collect():
+                delete_folder(self.spark, f"{self.path}/batches/batch_id={row.batch_id}")
+        for base in bases[2:]:
+            delete_folder(self.spark, base.folder)

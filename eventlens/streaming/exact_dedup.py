@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.operators.dedup import BUSY_ROWS, WINDOW_SECONDS, dedup_window, join_ids
-from eventlens.session import materialize, read_or_none
+from eventlens.session import delete_folder, materialize, read_or_none, stages
+
+KEPT_STATES = 10  # a retry needs only the state before it
 
 
 class RollingDedup:
@@ -31,7 +33,11 @@ class RollingDedup:
         self.window_seconds, self.tie_cols = window_seconds, tie_cols
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = materialize(batch, "batch")
+        with stages(self.spark):
+            self._handle(materialize(batch, "batch"), batch_id)
+        delete_folder(self.spark, f"{self.path}/seen/batch_id={batch_id - KEPT_STATES}")
+
+    def _handle(self, batch: DataFrame, batch_id: int) -> None:
         width = int(self.window_seconds * 1_000_000)
         us = F.unix_micros(self.time_col)
         seen = self._seen_before(batch_id)

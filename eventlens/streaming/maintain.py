@@ -7,44 +7,60 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.operators import state as st, timeseries as ts
-from eventlens.session import materialize, read_or_none
+from eventlens.session import delete_folder, materialize, read_or_none, stages
 from eventlens.sources.snapshots import StateTable
 
 HISTORY_LENGTH = 60  # fixed value: samples of the served history
+BATCHES_PER_BASE = 50
 
 
-def fold_batches(table: StateTable) -> Callable[[DataFrame, int], None]:
-    """foreachBatch handler: store the state of each micro-batch under its id."""
+def fold_batches(table: StateTable, batches_per_base: int = BATCHES_PER_BASE) -> Callable[[DataFrame, int], None]:
+    """foreachBatch handler: store the state of each micro-batch under its id.
+
+    Every ``batches_per_base`` batches the stored ones are compacted, so readers
+    merge a bounded number of tables.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # Two aggregates read the batch; writing it first keeps the stateful part
-        # above from running twice.
-        rows = materialize(batch, "batch")
-        if not rows.isEmpty():
-            table.write_batch(batch_id, st.build_state(rows))
+        with stages(batch.sparkSession):
+            _fold(table, batch, batch_id, batches_per_base)
 
     return handle
 
 
+def _fold(table: StateTable, batch: DataFrame, batch_id: int, batches_per_base: int) -> bool:
+    """Whether the batch had rows."""
+    # Two aggregates read the batch; writing it first keeps the stateful part above
+    # from running twice.
+    rows = materialize(batch, "batch")
+    if rows.isEmpty():
+        return False
+    table.write_batch(batch_id, st.build_state(rows))
+    if batch_id % batches_per_base == batches_per_base - 1:
+        table.compact()
+        table.drop_folded()
+    return True
+
+
 def publish_batches(
-    table: StateTable, path: str, batches_per_base: int = 50,
+    table: StateTable, path: str, batches_per_base: int = BATCHES_PER_BASE,
 ) -> Callable[[DataFrame, int], None]:
     """Like `fold_batches`, and publishes the full snapshot and one history sample
-    per trigger that brought rows. Every ``batches_per_base`` batches the state is
-    compacted, so a publish merges a bounded number of tables."""
+    per trigger that brought rows. Only recent publications are kept."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = materialize(batch, "batch")
-        if rows.isEmpty():
-            return
-        table.write_batch(batch_id, st.build_state(rows))
-        if batch_id % batches_per_base == batches_per_base - 1:
-            table.compact()
-        merged = table.read()
-        state = st.MetricState(materialize(merged.partials, "state"), materialize(merged.samples, "samples"))
-        st.snapshot(state).write.mode("overwrite").parquet(f"{path}/snapshot/batch_id={batch_id}")
-        history_sample(state).withColumn("published_at", F.current_timestamp()).write.mode(
-            "overwrite").parquet(f"{path}/history/batch_id={batch_id}")
+        spark = batch.sparkSession
+        with stages(spark):
+            if not _fold(table, batch, batch_id, batches_per_base):
+                return
+            merged = table.read()
+            state = st.MetricState(
+                materialize(merged.partials, "state"), materialize(merged.samples, "samples"))
+            st.snapshot(state).write.mode("overwrite").parquet(f"{path}/snapshot/batch_id={batch_id}")
+            history_sample(state).withColumn("published_at", F.current_timestamp()).write.mode(
+                "overwrite").parquet(f"{path}/history/batch_id={batch_id}")
+            for kind in ("snapshot", "history"):
+                delete_folder(spark, f"{path}/{kind}/batch_id={batch_id - 2 * HISTORY_LENGTH}")
 
     return handle
 

@@ -94,3 +94,25 @@ def test_half_written_versions_and_batches_are_not_read(spark, events):
     state.partials.write.parquet(f"{table_.path}/base/version=0-broken/partials")
     state.partials.write.parquet(f"{table_.path}/batches/batch_id=0/partials")
     assert st.kpis(table_.read().partials).first().total_events == 0
+
+
+def test_compaction_cleans_up_behind_itself(spark, events):
+    import os
+    table_ = StateTable(spark, fresh_dir(spark, "t-state"))
+    for i in range(6):
+        table_.write_batch(i, st.build_state(events({"event_type": "purchase", "amount": 10.0})))
+        if i % 2:
+            table_.compact()
+            table_.drop_folded()
+    left = sorted(os.listdir(f"{table_.path.removeprefix('file:')}/batches"))
+    assert left == ["batch_id=4", "batch_id=5"]  # the newest base covers them, the one before does not
+    assert st.kpis(table_.read().partials).first().total_orders == 6
+
+
+def test_stages_are_deleted_after_the_block(spark):
+    from eventlens.session import read_or_none, stages
+    with stages(spark):
+        written = materialize(spark.range(3))
+        path = written.inputFiles()[0].rsplit("/", 1)[0]
+        assert read_or_none(spark, path).count() == 3
+    assert read_or_none(spark, path) is None
