@@ -106,7 +106,8 @@ def to_envelope(flat: DataFrame) -> DataFrame:
         F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("user_id"),
         F.concat(F.lit("s_"), F.col("user_id").cast("string")).alias("session_id"),
         F.struct(
-            "query", "product_name", "category", "amount", "country", "device",
+            "query", "product_name", "category", F.col("amount").cast("double").alias("amount"),
+            "country", "device",
         ).alias("data"),
         F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("partition_key"),
     ]
