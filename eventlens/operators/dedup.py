@@ -32,7 +32,12 @@ def _first_by(df: DataFrame, keys: list, order: list) -> DataFrame:
 def first_delivery(
     df: DataFrame, id_col: str = "event_id", time_col: str = "ingest_ts", tie_cols: list[str] = ("copy",),
 ) -> DataFrame:
-    """Earliest delivery of each id (a dedup window without end)."""
+    """Earliest delivery of each id (a dedup window without end).
+
+    One lazy plan that shuffles the rows by id. For wide rows with few repeats
+    ``dedup_window(window_seconds=None)`` gives the same rows in two passes that leave
+    the payload where it is.
+    """
     return _first_by(df, [id_col], [time_col, *[c for c in tie_cols if c in df.columns]])
 
 
@@ -40,18 +45,18 @@ def dedup_window(
     df: DataFrame,
     id_col: str = "event_id",
     time_col: str = "ingest_ts",
-    window_seconds: float = WINDOW_SECONDS,
+    window_seconds: float | None = WINDOW_SECONDS,
     tie_cols: list[str] = ("copy",),
     fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
-    """Deliveries accepted under the rolling window, all columns kept.
+    """Deliveries accepted under the rolling window (None: no end), all columns kept.
 
     Only ids delivered more than once can be rejected. They are found from the id
     and time columns alone (one narrow, map-side combined shuffle); every other
     row passes through a join against that set without its payload being
     shuffled, as long as the set is small enough to broadcast.
     """
-    width = int(window_seconds * 1_000_000)
+    width = None if window_seconds is None else int(window_seconds * 1_000_000)
     timed = df.withColumn("_us", F.unix_micros(time_col))
     contested = materialize(
         timed.groupBy(F.col(id_col).alias("_cid"))
@@ -59,7 +64,7 @@ def dedup_window(
         .where("_n > 1"),
         "contested",
     )
-    long = F.col("_hi") - F.col("_lo") >= width
+    long = F.lit(False) if width is None else F.col("_hi") - F.col("_lo") >= width
     sizes = contested.agg(
         F.count("*").alias("ids"),
         F.count_if(long & (F.col("_n") <= fold_limit)).alias("light"),

@@ -50,9 +50,11 @@ class EventColumns:
 
     def __init__(self, df: DataFrame):
         self.data = PayloadColumns(df.columns, "data" in df.columns)
+        # Flat rows call the event time `ts`.
+        self._renamed = {} if "timestamp" in df.columns else {"timestamp": "ts"}
 
     def __getattr__(self, name: str) -> Column:
-        return F.col(name)
+        return F.col(self._renamed.get(name, name))
 
 
 @dataclass(frozen=True)
@@ -100,7 +102,8 @@ class Pipeline:
         """Tumbling-window aggregate of the current values, which also flow on.
 
         ``fn``: sum, len, min, max, a mean or median, a function from a Column to
-        an aggregate Column, or a ``MergeableAgg``. ``emit`` receives the table.
+        an aggregate Column, or a ``MergeableAgg`` (on streams: inside foreachBatch).
+        ``emit`` receives the table.
         """
         self._steps.append(("aggregate", window_seconds, fn, emit))
         return self

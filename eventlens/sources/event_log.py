@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from eventlens.functions import hash_partition, is_present, round_robin_partition, routing_key
 from eventlens.operators.numbering import dense_number
-from eventlens.schema import LOG_REQUIRED, LOG_SCHEMA, STATE_LOG_OP, STATE_LOG_SCHEMA
+from eventlens.schema import EVENT_SCHEMA, LOG_REQUIRED, LOG_SCHEMA, STATE_LOG_OP, STATE_LOG_SCHEMA
 from eventlens.session import read_or_none
 
 # Default replay length and log size cap.
@@ -100,6 +100,24 @@ def _to_events(rows: DataFrame) -> DataFrame:
     })
 
 
+def flatten(events: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+    """Envelopes as the flat rows the metric operators read; other columns pass through.
+
+    ``ingest_time`` is the processing time of each event. Without it an existing
+    ``ingest_ts`` column is used, else the event time.
+    """
+    if ingest_time is None:
+        ingest_time = F.col("ingest_ts" if "ingest_ts" in events.columns else "timestamp")
+    payload = ["country", "device", "product_name", "category", "query", "amount"]
+    known = events.schema["data"].dataType.names
+    envelope = {*EVENT_SCHEMA.names, "ingest_ts"}
+    return events.select(
+        "event_id", "event_type", F.col("timestamp").alias("ts"), ingest_time.alias("ingest_ts"), "user_id",
+        *[(F.col(f"data.{c}") if c in known else F.lit(None)).alias(c) for c in payload],
+        *[c for c in events.columns if c not in envelope],
+    )
+
+
 def log_lines(log: DataFrame) -> Column:
     """One log line per row: offset and envelope as JSON, times as epoch seconds."""
     fields = [f.name for f in LOG_SCHEMA]

@@ -106,3 +106,19 @@ def test_next_arrival_over_all_levels(spark, seed):
     queries = spark.createDataFrame([("a", q) for q in asked], "_cid string, _q long")
     got = {r._q: r._next for r in dedup.next_arrival(arrivals, queries, (10, 500, None)).collect()}
     assert got == {q: next((t for t in times if t >= q), None) for q in asked}
+
+
+def test_rows_delivered_once_are_not_shuffled(spark):
+    """With few repeated ids the pass-through branch is a scan and a broadcast join."""
+    source = session.materialize(deliveries(spark, [(f"e_{i // 2}", i, 0) for i in range(20)]))
+    text = dedup.dedup_window(source)._jdf.queryExecution().executedPlan().toString()
+    passed = text[: text.index("LeftAnti") + text[text.index("LeftAnti"):].index("LeftSemi")]
+    assert "BroadcastHashJoin" in passed and "Exchange hashpartitioning" not in passed
+    assert "CartesianProduct" not in text
+
+
+def test_window_without_end_equals_first_delivery(spark):
+    arrivals = random_arrivals(11)
+    df = deliveries(spark, arrivals)
+    first = rows(dedup.first_delivery(df), "event_id", "us", "copy")
+    assert accepted(df, window_seconds=None) == first

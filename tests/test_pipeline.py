@@ -116,3 +116,9 @@ def test_filter_and_projection_reach_the_scan(spark):
     assert "EqualTo(event_type,purchase)" in text and "IsNotNull(value)" in text
     assert "ReadSchema: struct<event_type:string,value:double>" in text
     assert "Python" not in text
+
+
+def test_event_time_of_flat_and_nested_events(spark, shop):
+    flat = Pipeline().map(lambda e: F.unix_seconds(e.timestamp)).apply(shop).output
+    nested = Pipeline().map(lambda e: F.unix_seconds(e.timestamp)).apply(shop.withColumnRenamed("ts", "timestamp")).output
+    assert rows(flat) == rows(nested) and flat.count() == 4
