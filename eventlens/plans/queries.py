@@ -87,9 +87,22 @@ def json_log_path(spark: SparkSession, sf_dir: str) -> str:
     return _once("jsonlog", spark, sf_dir, build)
 
 
+def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries as a written table: the dimension joins that shape them run once."""
+    return materialize(fixture.resent(spark, sf_dir), "deliveries")
+
+
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id, arrival and keys of the deliveries: all that routing looks at."""
+    user = F.concat(F.lit("u_"), F.col("user_id").cast("string"))
+    return fixture.resent(spark, sf_dir, columns=["event_id", "ingest_ts", "user_id"]).select(
+        F.col("event_id").cast("string").alias("event_id"), "copy", "ingest_ts",
+        user.alias("user_id"), user.alias("partition_key"),
+    )
+
+
 def route_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fixture.to_envelope(fixture.resent(spark, sf_dir))
-    routed = log.route(events, LOG_PARTITIONS)
+    routed = log.route(_keyed(spark, sf_dir), LOG_PARTITIONS)
     return routed.select(F.col("event_id").cast("long").alias("event_id"), "copy", "partition_id")
 
 
@@ -105,14 +118,12 @@ def _log_rows(placed: DataFrame) -> DataFrame:
 
 
 def assign_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fixture.to_envelope(fixture.resent(spark, sf_dir))
-    slim = log.route(events, LOG_PARTITIONS).select("event_id", "copy", "ingest_ts", "partition_id")
-    return _log_rows(log.assign_offsets(slim))
+    return _log_rows(log.assign_offsets(log.route(_keyed(spark, sf_dir), LOG_PARTITIONS, keyless=False)))
 
 
 def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends, cut in time: the second continues the offsets of the first."""
-    events = fixture.to_envelope(fixture.resent(spark, sf_dir))
+    events = fixture.to_envelope(_deliveries(spark, sf_dir))
     path = fresh_dir(spark, "append")
     for part in streams.split_by_time(events, 2):
         log.append_log(spark, part, path, LOG_PARTITIONS, keyless=False)
@@ -246,7 +257,7 @@ def recent_buckets(df: DataFrame) -> DataFrame:
 # --- dedup and state --------------------------------------------------------------------
 
 def dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return naive(dedup.dedup_window(fixture.resent(spark, sf_dir)))
+    return naive(dedup.dedup_window(_deliveries(spark, sf_dir)))
 
 
 def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +384,7 @@ def stream_restart_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rolling rule across micro-batches, resends in their place in time."""
-    deliveries = materialize(fixture.resent(spark, sf_dir), "deliveries")
+    deliveries = _deliveries(spark, sf_dir)
     work = fresh_dir(spark, "exact")
     handler = RollingDedup(spark, f"{work}/out")
     for part in streams.split_by_time(deliveries, 2):
