@@ -198,20 +198,24 @@ def _merge_windows(df: DataFrame, agg: MergeableAgg) -> DataFrame:
         T.StructField("count", T.LongType()),
     ])
 
+    # The tasks get plain functions and names, so workers need not import this package.
+    partial, merge, finish, limit = agg.partial, agg.merge, agg.finish, _HELD_WINDOWS
+    partial_names, result_names = partial_type.names, result_type.names
+
     def join(known: tuple | None, count: int, values: tuple) -> tuple:
-        return (count, values) if known is None else (known[0] + count, agg.merge(known[1], values))
+        return (count, values) if known is None else (known[0] + count, merge(known[1], values))
 
     def rows(held: dict) -> pd.DataFrame:
         return pd.DataFrame(
-            [(*key, count, *values) for key, (count, values) in held.items()], columns=partial_type.names
+            [(*key, count, *values) for key, (count, values) in held.items()], columns=partial_names
         )
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
         for batch in batches:
             for key, values in batch.groupby(["window_start", "window_end"])[VALUE]:
-                held[key] = join(held.get(key), len(values), agg.partial(values))
-            if len(held) > _HELD_WINDOWS:
+                held[key] = join(held.get(key), len(values), partial(values))
+            if len(held) > limit:
                 yield rows(held)
                 held = {}
         yield rows(held)
@@ -222,12 +226,12 @@ def _merge_windows(df: DataFrame, agg: MergeableAgg) -> DataFrame:
             done = []
             for start, end, count, *values in batch.itertuples(index=False, name=None):
                 if key is not None and key != (start, end):
-                    done.append((*key, agg.finish(known[1]), known[0]))
+                    done.append((*key, finish(known[1]), known[0]))
                     known = None
                 key, known = (start, end), join(known, count, tuple(values))
-            yield pd.DataFrame(done, columns=result_type.names)
+            yield pd.DataFrame(done, columns=result_names)
         if key is not None:
-            yield pd.DataFrame([(*key, agg.finish(known[1]), known[0])], columns=result_type.names)
+            yield pd.DataFrame([(*key, finish(known[1]), known[0])], columns=result_names)
 
     flat = df.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), VALUE)
     return (
