@@ -22,7 +22,7 @@ from eventlens.session import broadcast_if_small
 
 SEED = 17
 BLOCK_WORDS = 16
-SHARD_WORDS = 1 << 24
+SHARD_WORDS = 1 << 20
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # of all words
 REPEAT = 2  # a document is taken so often at most

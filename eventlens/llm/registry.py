@@ -7,7 +7,7 @@ tables, `op8` for its checksum), `tests/llm` holds the query against brute force
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlens.llm import mixing, quality, sharding
+from eventlens.llm import bpe, licenses, mixing, quality, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,8 +35,30 @@ def op8_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.withColumn("n_matches", F.size("matches").cast("long")).drop("matches")
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.archive_pages(spark, _table(spark, sf_dir, "pages"))
+    return warc.resolve(warc.read_records(spark, archive, payloads=False))
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_digests(docs, public_tokenizers.path(TOKENIZER))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_quality_rules, op6_source_mixing, op8_rendezvous_sharding)}
+    return {f.__name__: f for f in (
+        op1_license_scan, op3_warc_revisits, op5_quality_rules, op6_source_mixing, op8_rendezvous_sharding,
+        op10_bpe_codec)}
 
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -161,5 +183,17 @@ FROM summed
 """
 
 
+_OP3 = f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= {warc.MIN_BYTES} THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM firsts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": _OP5, "op6_source_mixing": _OP6, "op8_rendezvous_sharding": _OP8}
+    return {"op3_warc_revisits": _OP3, "op5_quality_rules": _OP5, "op6_source_mixing": _OP6, "op8_rendezvous_sharding": _OP8}
