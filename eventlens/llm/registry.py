@@ -7,7 +7,7 @@ tables, `op8` for its checksum), `tests/llm` holds the query against brute force
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlens.llm import bpe, licenses, mixing, quality, sharding, warc
+from eventlens.llm import bpe, hamming, licenses, mixing, quality, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+NEAREST = 10
+
+
+def op7_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hamming.top_k(vectors, vectors.filter("vec_id % 50 = 0"), NEAREST)
+
+
 SHARDS = 8
 
 
@@ -57,7 +65,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_license_scan, op3_warc_revisits, op5_quality_rules, op6_source_mixing, op8_rendezvous_sharding,
+        op1_license_scan, op3_warc_revisits, op5_quality_rules, op6_source_mixing, op7_hamming_top_k, op8_rendezvous_sharding,
         op10_bpe_codec)}
 
 
@@ -183,6 +191,17 @@ FROM summed
 """
 
 
+_OP7 = f"""
+WITH codes AS (
+  SELECT DISTINCT vec_id, list_aggregate(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), 'string_agg', '')::BIT AS code
+  FROM embeddings),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id, bit_count(xor(q.code, r.code))::BIGINT AS distance
+  FROM codes q JOIN codes r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank, neighbor_id, distance
+FROM pairs QUALIFY rank <= {NEAREST}
+"""
+
 _OP3 = f"""
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -196,4 +215,4 @@ FROM firsts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_revisits": _OP3, "op5_quality_rules": _OP5, "op6_source_mixing": _OP6, "op8_rendezvous_sharding": _OP8}
+    return {"op3_warc_revisits": _OP3, "op7_hamming_top_k": _OP7, "op5_quality_rules": _OP5, "op6_source_mixing": _OP6, "op8_rendezvous_sharding": _OP8}
