@@ -7,13 +7,17 @@ tables, `op8` for its checksum), `tests/llm` holds the query against brute force
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlens.llm import bpe, hamming, licenses, mixing, quality, sharding, warc
+from eventlens.llm import bpe, hamming, licenses, mixing, quality, sharding, substring, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_summary(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -65,7 +69,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_license_scan, op3_warc_revisits, op5_quality_rules, op6_source_mixing, op7_hamming_top_k, op8_rendezvous_sharding,
+        op1_license_scan, op3_warc_revisits, op4_substring_dedup, op5_quality_rules, op6_source_mixing, op7_hamming_top_k, op8_rendezvous_sharding,
         op10_bpe_codec)}
 
 
