@@ -7,7 +7,7 @@ tables, `op8` for its checksum), `tests/llm` holds the query against brute force
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlens.llm import bpe, hamming, licenses, mixing, quality, sharding, substring, warc
+from eventlens.llm import bpe, hamming, licenses, mixing, ngram_join, quality, sharding, substring, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_matches", F.size("matches").cast("long")).drop("matches")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.component_ids(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.archive_pages(spark, _table(spark, sf_dir, "pages"))
     return warc.resolve(warc.read_records(spark, archive, payloads=False))
@@ -69,7 +74,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_license_scan, op3_warc_revisits, op4_substring_dedup, op5_quality_rules, op6_source_mixing, op7_hamming_top_k, op8_rendezvous_sharding,
+        op1_license_scan, op2_ngram_join, op3_warc_revisits, op4_substring_dedup, op5_quality_rules, op6_source_mixing, op7_hamming_top_k, op8_rendezvous_sharding,
         op10_bpe_codec)}
 
 

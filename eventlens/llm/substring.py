@@ -22,15 +22,15 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
 import xxhash
+from pyspark.sql import DataFrame, functions as F
 
+from eventlens.llm.rows import LAST, identified
 from eventlens.llm.tokens import (
     SLICE_BYTES, as_long, list_of_longs, slices, sliding_min, window_numbers, word_numbers)
 from eventlens.session import broadcast_if_small, materialize
 
 WINDOW = 50
-LAST = (1 << 63) - 1  # stands for a null id
 _NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -118,17 +118,11 @@ def _cut(live: DataFrame, window: int) -> DataFrame:
         cut, "key long, rid long, n_removed long, kept_sha256 string, kept_text string")
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """Rows are told apart by id and a number of the text."""
-    return docs.withColumns({
-        "key": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "rid": F.xxhash64("doc_id", "text")})
-
-
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(summary, changed) for (doc_id, text): the summary of each row with ``copy`` set where
     an earlier row has the same words, and the rows of which windows are removed, with
     ``n_removed``, ``kept_sha256`` and ``kept_text``."""
-    rows = _identified(docs.select("doc_id", "text"))
+    rows = identified(docs.select("doc_id", "text"))
     summary = materialize(_summaries(rows, window), "summaries")
     firsts = summary.groupBy(F.col("whole").alias("_whole")).agg(F.min("key").alias("first"))
     judged = summary.join(firsts, F.col("whole") == F.col("_whole")).withColumn(
@@ -168,7 +162,7 @@ def dedup_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     gone = judged.filter("copy").select("key", "rid").unionByName(
         changed.filter("kept_text = ''").select("key", "rid")).distinct()
     cut = changed.filter("kept_text <> ''").select("key", "rid", "kept_text")
-    rows = _identified(docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns])))
+    rows = identified(docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns])))
     kept = rows.select("_row", "key", "rid").join(gone, ["key", "rid"], "left_anti").join(cut, ["key", "rid"], "left")
     text = F.coalesce("kept_text", "_row.text").alias("text")
     return kept.select(*[text if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
