@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 
 END = "</w>"
-CACHED_WORDS, CACHED_LENGTH = 100_000, 64  # bounds of a task's memory of encoded words
+CACHED_WORDS, CACHED_LENGTH = 150_000, 64  # bounds of a task's memory of encoded words
 CHUNK = 256  # symbols read between two emissions
 PLAIN_TO = "\u0557"  # below it all Unicode versions in use agree
 KNOWN_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -107,27 +107,23 @@ class Transducer:
     def __init__(self, vocab: dict[str, int], ranks: dict[tuple[str, str], int], lookahead: int, chunk: int = CHUNK):
         self.vocab, self.ranks, self.lookahead, self.chunk = vocab, ranks, lookahead, chunk
         self.pending: list[str] = []
+        self.none = len(ranks)  # ranks below every rule
 
     def _merged(self, symbols: list[str]) -> list[str]:
         """The tokens of a stretch of symbols: always the first of the pairs of least rank."""
-        tokens, ranks = list(symbols), self.ranks
-        while len(tokens) > 1:
-            best, pair = None, None
-            for candidate in zip(tokens, tokens[1:]):
-                rank = ranks.get(candidate)
-                if rank is not None and (best is None or rank < best):
-                    best, pair = rank, candidate
-            if pair is None:
+        tokens, ranks, none = list(symbols), self.ranks, self.none
+        found = [ranks.get(pair, none) for pair in zip(tokens, tokens[1:])]
+        while found:
+            best = min(found)
+            if best == none:
                 break
-            out, i = [], 0
-            while i < len(tokens):
-                if i + 1 < len(tokens) and (tokens[i], tokens[i + 1]) == pair:
-                    out.append(tokens[i] + tokens[i + 1])
-                    i += 2
-                else:
-                    out.append(tokens[i])
-                    i += 1
-            tokens = out
+            at = found.index(best)
+            tokens[at:at + 2] = [tokens[at] + tokens[at + 1]]
+            del found[at]
+            if at:
+                found[at - 1] = ranks.get((tokens[at - 1], tokens[at]), none)
+            if at < len(found):
+                found[at] = ranks.get((tokens[at], tokens[at + 1]), none)
         return tokens
 
     def push(self, symbols: str) -> list[int]:
@@ -247,18 +243,22 @@ class Decoder:
 
 
 class _Remembered(dict):
-    """Word to (ids, decoded) as texts; emptied when full, and long words are not kept."""
+    """Word to (ids, decoded) as texts. Long words are not kept; when full, the words are put
+    by, and those of them that come again are taken over."""
 
     def __init__(self, encoder: Encoder, decoder: Decoder):
         super().__init__()
-        self.encoder, self.decoder = encoder, decoder
+        self.encoder, self.decoder, self.put_by = encoder, decoder, {}
 
     def __missing__(self, word: str) -> tuple[str, str]:
-        ids = self.encoder.encode_word(word)
-        self.decoder.reset()
-        value = (" ".join(map(str, ids)), "".join(map(self.decoder.push, ids)))
+        value = self.put_by.get(word)
+        if value is None:
+            ids = self.encoder.encode_word(word)
+            self.decoder.reset()
+            value = (" ".join(map(str, ids)), "".join(map(self.decoder.push, ids)))
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
+                self.put_by = dict(self)
                 self.clear()
             self[word] = value
         return value
