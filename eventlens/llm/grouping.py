@@ -15,14 +15,13 @@ and, by the neighbours' common prefixes in that order, from there on.
 """
 
 from collections import defaultdict
-from itertools import repeat
 
 import numpy as np
 
 from eventlens.llm.tokens import mixed
 
 TRIGGER = 4  # bytes
-RATE = 16  # one of so many places is a trigger, about
+RATES = (16, 4, 1)  # one of so many places is a trigger, about
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -99,9 +98,9 @@ def suffix_array(text: list[int]) -> list[int]:
     return result[1:]
 
 
-def _triggers(words: np.ndarray, every: bool) -> np.ndarray:
+def _triggers(words: np.ndarray, rate: int) -> np.ndarray:
     """Whether a trigger begins at each place, given the four bytes there as numbers."""
-    return np.ones(len(words), bool) if every else mixed(words) % np.uint64(RATE) == 0
+    return mixed(words) % np.uint64(rate) == 0
 
 
 def _common(eight: np.ndarray, u: np.ndarray, v: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -120,10 +119,15 @@ def _common(eight: np.ndarray, u: np.ndarray, v: np.ndarray, most: np.ndarray) -
     return np.minimum(length, most)
 
 
-def repeated_starts(contents: list[bytes], length: int) -> list[np.ndarray]:
-    """For each content, which of its strings of ``length`` bytes also start at another
-    place of the contents (one flag for each start)."""
-    sizes = np.array([len(c) for c in contents])
+def repeated_starts(groups: list[list[bytes]], length: int, rates=RATES) -> list[list[np.ndarray]]:
+    """For each content of each group, which of its strings of ``length`` bytes also start at
+    another place of the same group (one flag for each start).
+
+    Groups with a string that has no trigger in it are sorted apart, with more triggers.
+    """
+    contents = [c for g in groups for c in g]
+    of_group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    sizes = np.array([len(c) for c in contents], np.int64)
     ends = np.cumsum(sizes)
     begins = ends - sizes
     raw = np.frombuffer(b"".join(contents), np.uint8)
@@ -135,18 +139,20 @@ def repeated_starts(contents: list[bytes], length: int) -> list[np.ndarray]:
         eight |= padded[b:b + count] << np.uint64(8 * b)
     owner = np.repeat(np.arange(len(contents)), sizes)
 
-    every = False
-    while True:
-        here = _triggers(eight[:total] & np.uint64(0xFFFFFFFF), every)
-        here &= np.arange(total) + TRIGGER <= ends[owner]
-        cuts = np.flatnonzero(here)
-        # each string needs a whole trigger: none may be farther away than this
-        reach = np.searchsorted(cuts, np.arange(total))
-        starts = np.arange(total) + length <= ends[owner]
-        following = np.append(cuts, total * 2 + length)[reach]
-        if every or not (starts & (following + TRIGGER > np.arange(total) + length)).any():
-            break
-        every = True  # a long stretch without triggers: all places are
+    places = np.arange(total)
+    here = _triggers(eight[:total] & np.uint64(0xFFFFFFFF), rates[0]) & (places + TRIGGER <= ends[owner])
+    cuts = np.flatnonzero(here)
+    following = np.append(cuts, 2 * total + length)[np.searchsorted(cuts, places)]
+    bare = (places + length <= ends[owner]) & (following + TRIGGER > places + length)
+    apart = np.unique(of_group[owner[bare]])
+    if len(apart):
+        result: list = [None] * len(groups)
+        others = np.setdiff1d(np.arange(len(groups)), apart)
+        for chosen, with_rates in ((others, rates), (apart, rates[1:])):
+            found = repeated_starts([groups[i] for i in chosen], length, with_rates) if len(chosen) else []
+            for i, flags in zip(chosen, found):
+                result[i] = flags
+        return result
 
     of = owner[cuts]
     last = np.append(of[1:] != of[:-1], True)
@@ -169,7 +175,7 @@ def repeated_starts(contents: list[bytes], length: int) -> list[np.ndarray]:
     common = np.zeros(len(at), np.int64)
     if len(at) > 1:
         common[1:] = _common(eight, at[:-1], at[1:], np.minimum(room[:-1], room[1:]))
-    before = np.full(len(at), -1, np.int64)  # the trigger before, or the place before the content
+    # the trigger before, or the place before the content
     index = np.searchsorted(cuts, at)
     earlier = np.where(index > 0, cuts[index - 1], -1)
     before = np.maximum(earlier, begins[owner[at]] - 1)
@@ -185,7 +191,9 @@ def repeated_starts(contents: list[bytes], length: int) -> list[np.ndarray]:
             left[active] = mixed(left[active] * np.uint64(0x9E3779B97F4A7C15) + padded[at[active] - gap] + np.uint64(1))
         whole = active[at[active] - gap + length <= ends[owner[at[active]]]]
         label = np.cumsum(common < length - gap)
-        keys = mixed(label[whole].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + left[whole])
+        keys = label[whole].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + left[whole]
+        keys = mixed(keys + mixed(of_group[owner[at[whole]]].astype(np.uint64)))
         _, back, times = np.unique(keys, return_inverse=True, return_counts=True)
         found[at[whole[times[back] > 1]] - gap] = True
-    return [found[b:e - length + 1] if e - b >= length else found[:0] for b, e in zip(begins, ends)]
+    flags = iter([found[b:e - length + 1] if e - b >= length else found[:0] for b, e in zip(begins, ends)])
+    return [[next(flags) for _ in g] for g in groups]

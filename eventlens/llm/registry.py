@@ -7,7 +7,7 @@ tables, `op8` for its checksum), `tests/llm` holds the query against brute force
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlens.llm import bpe, hamming, licenses, mixing, ngram_join, quality, sharding, substring, warc
+from eventlens.llm import bpe, hamming, licenses, mixing, ngram_join, quality, sharding, substring, suffix, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(warc.read_records(spark, archive, payloads=False))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup_summary(_table(spark, sf_dir, "documents"))
+
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -75,7 +79,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_license_scan, op2_ngram_join, op3_warc_revisits, op4_substring_dedup, op5_quality_rules, op6_source_mixing, op7_hamming_top_k, op8_rendezvous_sharding,
-        op10_bpe_codec)}
+        op9_suffix_dedup, op10_bpe_codec)}
 
 
 _SPACE = r"[\x20\x09-\x0D]+"

@@ -25,10 +25,10 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventlens.llm.rows import LAST, identified
+from eventlens.llm.rows import LAST, ROW, identified, with_text
 from eventlens.llm.tokens import (
     SLICE_BYTES, as_long, list_of_longs, slices, sliding_min, window_numbers, word_numbers)
-from eventlens.session import broadcast_if_small, materialize
+from eventlens.session import materialize
 
 WINDOW = 50
 _NOTHING = hashlib.sha256(b"").hexdigest()
@@ -133,15 +133,13 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame,
     hits = materialize(marks.join(shared.select("mark"), "mark").groupBy("key", "rid").agg(
         F.collect_set("mark").alias("hits")), "hits")
 
-    few, _ = broadcast_if_small(hits.select("key", "rid"), hits.count())
-    live = rows.join(few, ["key", "rid"], "left_semi").dropDuplicates(["key", "rid"])
-    live = materialize(live.join(hits, ["key", "rid"]).select("key", "rid", "text", "hits"), "live")
+    live = materialize(with_text(hits, rows), "live")
 
     windows = _windows(live, window)
     earlier = windows.groupBy("a", "b").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high")
     repeats = windows.join(earlier.select("a", "b", "low"), ["a", "b"]).filter("key > low")
     starts = repeats.groupBy("key", "rid").agg(F.collect_list("place").alias("starts"))
-    return judged, materialize(_cut(live.join(starts, ["key", "rid"]), window), "changed")
+    return judged, materialize(_cut(live.join(starts, ROW), window), "changed")
 
 
 def dedup_summary(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -149,7 +147,7 @@ def dedup_summary(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     judged, changed = repeated_windows(docs, window)
     changed = changed.drop("kept_text")
     doc_id = F.when(F.col("key") != LAST, F.col("key"))
-    return judged.join(changed, ["key", "rid"], "left").select(
+    return judged.join(changed, ROW, "left").select(
         doc_id.alias("doc_id"), "n_words",
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("copy"), F.lit(_NOTHING)).otherwise(F.coalesce("kept_sha256", "digest")).alias("kept_sha256"))
@@ -163,6 +161,6 @@ def dedup_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         changed.filter("kept_text = ''").select("key", "rid")).distinct()
     cut = changed.filter("kept_text <> ''").select("key", "rid", "kept_text")
     rows = identified(docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns])))
-    kept = rows.select("_row", "key", "rid").join(gone, ["key", "rid"], "left_anti").join(cut, ["key", "rid"], "left")
+    kept = rows.select("_row", "key", "rid").join(gone, ROW, "left_anti").join(cut, ROW, "left")
     text = F.coalesce("kept_text", "_row.text").alias("text")
     return kept.select(*[text if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
