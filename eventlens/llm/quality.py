@@ -85,59 +85,84 @@ def _repeat_words(words: Column) -> Column:
     return F.coalesce(found, F.lit(0)).cast("long")
 
 
-def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """A frame of (the columns of ``docs`` as one struct ``row``, the measures)."""
-    text = F.coalesce(F.col(f"row.{text_col}"), F.lit(""))
-    base = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row", text.alias("text"))
-    parts = base.select(
-        "row", "text",
-        F.filter(F.split("text", SPACE), lambda w: w != "").alias("words"),
-        F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-    )
+def measures(text: Column) -> Column:
+    """All measures of a text as one struct; counts are long, ratios double or null."""
     stops = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS))])
-    counted = parts.select(
-        "row",
-        F.size("words").cast("long").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("words")).alias("n_repeat_words"),
-        F.size("lines").cast("long").alias("n_lines"),
-        F.regexp_count("text", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
-        F.size(F.array_intersect("words", stops)).cast("long").alias("n_stop"),
-        F.size(bound(F.col("words"), lambda all_words: F.filter(
-            all_words, lambda w, i: F.get(all_words, i - 1) == w))).cast("long").alias("n_echo"),
-    )
-    per_word = F.when(F.col("n_words") > 0, F.col("n_words"))
-    return counted.withColumns({
-        "mean_word_length": F.col("word_chars") / per_word,
-        "symbol_ratio": F.col("n_symbols") / per_word,
-        "repeat_ratio": F.col("n_repeat_words") / per_word,
-        "echo_ratio": F.col("n_echo") / per_word,
-        "stop_words": F.when(F.col("n_words") >= STOP_FROM, F.col("n_stop")),
-        "upper_ratio": F.col("n_upper") / F.when(F.col("word_chars") > 0, F.col("word_chars")),
-        "dup_line_ratio": F.col("n_dup_lines") / F.when(F.col("n_lines") > 0, F.col("n_lines")),
-    })
-
-
-def compiled(rules=RULES) -> tuple[Column, Column]:
-    """(all rules hold, names of the failed rules) for a frame with the measures."""
+
+    def cut(t: Column) -> Column:
+        return F.struct(
+            F.filter(F.split(t, SPACE), lambda w: w != "").alias("words"),
+            F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
+            F.regexp_count(t, F.lit(SYMBOLS)).alias("symbols"),
+            F.regexp_count(t, F.lit(r"\p{Lu}")).alias("upper"))
+
+    def count(p: Column) -> Column:
+        words, lines = p["words"], p["lines"]
+        counts = {
+            "n_words": F.size(words),
+            "word_chars": F.length(F.array_join(words, "")),
+            "n_symbols": p["symbols"],
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": bound(words, _repeat_words),
+            "n_lines": F.size(lines),
+            "n_upper": p["upper"],
+            "n_stop": F.size(F.array_intersect(words, stops)),
+            "n_echo": F.size(F.filter(words, lambda w, i: F.get(words, i - 1) == w)),
+        }
+        return F.struct(*[c.cast("long").alias(name) for name, c in counts.items()])
+
+    def ratios(m: Column) -> Column:
+        per_word = F.when(m["n_words"] > 0, m["n_words"])
+        return F.struct(*[m[c].alias(c) for c in COUNTS], *[c.alias(name) for name, c in {
+            "mean_word_length": m["word_chars"] / per_word,
+            "symbol_ratio": m["n_symbols"] / per_word,
+            "repeat_ratio": m["n_repeat_words"] / per_word,
+            "echo_ratio": m["n_echo"] / per_word,
+            "stop_words": F.when(m["n_words"] >= STOP_FROM, m["n_stop"]),
+            "upper_ratio": m["n_upper"] / F.when(m["word_chars"] > 0, m["word_chars"]),
+            "dup_line_ratio": m["n_dup_lines"] / F.when(m["n_lines"] > 0, m["n_lines"]),
+        }.items()])
+
+    return bound(bound(bound(F.coalesce(text, F.lit("")), cut), count), ratios)
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_stop", "n_echo")
+
+
+def compiled(m: Column, rules=RULES) -> tuple[Column, Column]:
+    """(all rules hold, names of the failed rules) for a struct of measures."""
     held = []
     for r in rules:
-        limits = [F.col(r.measure) >= r.low] * (r.low is not None) + [F.col(r.measure) <= r.high] * (r.high is not None)
+        value = m[r.measure]
+        limits = [value >= r.low] * (r.low is not None) + [value <= r.high] * (r.high is not None)
         held.append((r.name, F.coalesce(reduce(Column.__and__, limits, F.lit(True)), F.lit(True))))
     failed = F.concat_ws(",", *[F.when(~ok, F.lit(name)) for name, ok in held])
     return reduce(Column.__and__, [ok for _, ok in held], F.lit(True)), failed
 
 
+def verdict(text: Column, rules=RULES) -> Column:
+    """The measures with ``base_failed``, ``failed_rules`` and ``kept``, as one struct.
+
+    One expression, so that a filter on it that the optimizer moves below the projection
+    evaluates it once.
+    """
+
+    def judged(m: Column) -> Column:
+        ok, failed = compiled(m, rules)
+        base = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+        return F.struct(m.alias("measures"), base.alias("base_failed"), failed.alias("failed_rules"), (~base & ok).alias("kept"))
+
+    return bound(measures(text), judged)
+
+
 def judge(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
-    """``row``, all measures, ``base_failed``, ``kept`` and ``failed_rules`` per row."""
-    ok, failed = compiled(rules)
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    measured = with_measures(docs, text_col)
-    return measured.select("*", base.alias("base_failed"), failed.alias("failed_rules"), (~base & ok).alias("kept"))
+    """``row`` (the columns of ``docs``), all measures, ``base_failed``, ``failed_rules`` and
+    ``kept`` per row."""
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    return docs.select(row, verdict(docs[text_col], rules).alias("v")).select(
+        "row", "v.measures.*", "v.base_failed", "v.failed_rules", "v.kept")
 
 
 def filter_quality(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
     """The rows that every rule keeps, with the columns of ``docs``."""
-    return judge(docs, rules, text_col).filter("kept").select("row.*")
+    return docs.filter(verdict(docs[text_col], rules)["kept"])
