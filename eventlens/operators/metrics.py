@@ -21,18 +21,31 @@ def is_refund() -> Column:
     return F.col("event_type") == REFUND
 
 
-def cents_of(condition: Column) -> Column:
-    """Sum of ``amount`` over matching rows in whole cents; a missing amount counts as 0.
+AMOUNT, TOTAL_AMOUNT = "decimal(28,6)", "decimal(38,6)"
 
-    A sum of integers does not depend on the order of the rows, and unlike a wide
-    decimal it is a plain long in the aggregation buffer.
+
+def exact_amount() -> Column:
+    """``amount`` to six decimals; null if it is missing, NaN, infinite or too large."""
+    return F.col("amount").try_cast(AMOUNT)
+
+
+def total_of(condition: Column) -> Column:
+    """Exact sum of ``amount`` over matching rows; what is no amount counts as 0.
+
+    A decimal sum does not depend on the order of the rows and is rounded only when
+    it is read (`money`).
     """
-    cents = F.rint(F.col("amount").cast("double") * 100).cast("long")
-    return F.coalesce(F.sum(F.when(condition, cents)), F.lit(0).cast("long"))
+    return F.coalesce(F.sum(F.when(condition, exact_amount())), F.lit(0).cast(TOTAL_AMOUNT))
+
+
+def money(total: str | Column) -> Column:
+    """A total in units with two decimals."""
+    return F.round(F.col(total) if isinstance(total, str) else total, 2).cast("double")
 
 
-def money(cents: str | Column) -> Column:
-    return (F.col(cents) if isinstance(cents, str) else cents) / F.lit(100.0)
+def rejected_amounts(df: DataFrame) -> DataFrame:
+    """How many rows carry an amount that no total can take: NaN, infinite or too large."""
+    return df.agg(F.count_if(F.col("amount").isNotNull() & exact_amount().isNull()).alias("rejected_amounts"))
 
 
 def ratio_or_zero(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -43,10 +56,10 @@ def kpi_totals(df: DataFrame) -> DataFrame:
     """Events, revenue, orders, refunds and average order value, in one pass."""
     totals = df.agg(
         F.count("*").alias("total_events"),
-        cents_of(is_purchase()).alias("revenue"),
+        total_of(is_purchase()).alias("revenue"),
         F.count_if(is_purchase()).alias("total_orders"),
         F.count_if(is_refund()).alias("refunds"),
-        cents_of(is_refund()).alias("refunded"),
+        total_of(is_refund()).alias("refunded"),
     )
     return totals.select(
         "total_events",

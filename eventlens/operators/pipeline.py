@@ -29,11 +29,11 @@ _BUILT_IN = {
 class PayloadColumns:
     """``e.data``: payload fields with a default, as in a dict."""
 
-    def __init__(self, columns: list[str], nested: bool):
-        self._columns, self._nested = columns, nested
+    def __init__(self, fields: list[str], nested: bool):
+        self._fields, self._nested = fields, nested
 
     def get(self, key: str, default=None) -> Column:
-        if not self._nested and key not in self._columns:
+        if key not in self._fields:
             return F.lit(default)
         found = F.col(f"data.{key}" if self._nested else key)
         return found if default is None else F.coalesce(found, F.lit(default))
@@ -49,7 +49,8 @@ class EventColumns:
     """Event attributes as columns of the frame."""
 
     def __init__(self, df: DataFrame):
-        self.data = PayloadColumns(df.columns, "data" in df.columns)
+        nested = "data" in df.columns
+        self.data = PayloadColumns(df.schema["data"].dataType.names if nested else df.columns, nested)
         # Flat rows call the event time `ts`.
         self._renamed = {} if "timestamp" in df.columns else {"timestamp": "ts"}
 

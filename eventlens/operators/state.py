@@ -30,8 +30,8 @@ PARTIAL_SCHEMA = T.StructType([
     T.StructField("events", T.LongType()),
     T.StructField("orders", T.LongType()),
     T.StructField("refunds", T.LongType()),
-    T.StructField("revenue", T.LongType()),  # cents
-    T.StructField("refunded", T.LongType()),  # cents
+    T.StructField("revenue", T.DecimalType(38, 6)),
+    T.StructField("refunded", T.DecimalType(38, 6)),
     T.StructField("first_seen", T.TimestampType()),
 ])
 
@@ -86,8 +86,8 @@ def _partials(df: DataFrame, time_col: str) -> DataFrame:
         F.count("*").alias("events"),
         F.count_if(metrics.is_purchase()).alias("orders"),
         F.count_if(metrics.is_refund()).alias("refunds"),
-        metrics.cents_of(metrics.is_purchase()).alias("revenue"),
-        metrics.cents_of(metrics.is_refund()).alias("refunded"),
+        metrics.total_of(metrics.is_purchase()).alias("revenue"),
+        metrics.total_of(metrics.is_refund()).alias("refunded"),
         F.min("seen_at").alias("first_seen"),
     )
     # In a grouping id the bit of a key is 0 where the row is grouped by it.

@@ -7,7 +7,7 @@ processed, ``ts`` when they happened.
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from eventlens.functions import latency_ms
-from eventlens.operators.metrics import cents_of, is_purchase, money
+from eventlens.operators.metrics import is_purchase, money, total_of
 from eventlens.operators.numbering import dense_number
 
 # Ring lengths and refresh step of the served series.
@@ -21,7 +21,7 @@ ROLLING_BLOCK = 100_000
 def per_minute(df: DataFrame, time_col: str = "ingest_ts") -> DataFrame:
     """Revenue and orders of every minute that has any event (no order: 0)."""
     return df.groupBy(F.date_trunc("minute", time_col).alias("minute")).agg(
-        money(cents_of(is_purchase())).alias("revenue"),
+        money(total_of(is_purchase())).alias("revenue"),
         F.count_if(is_purchase()).alias("orders"),
     )
 

@@ -38,9 +38,21 @@ deliveries AS (
   UNION ALL
   SELECT * REPLACE (ingest_ts + INTERVAL 45 SECOND AS ingest_ts), 2 FROM commerce WHERE event_id % 500 = 1
 ),
-accepted AS (
+firsts AS (
   SELECT * FROM deliveries
   QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts, copy) = 1
+),
+timed AS (SELECT *, epoch_us(ingest_ts) AS us FROM deliveries),
+kept(event_id, us) AS (
+  SELECT event_id, min(us) FROM timed GROUP BY event_id
+  UNION ALL
+  SELECT k.event_id, min(t.us) FROM kept k JOIN timed t
+    ON t.event_id = k.event_id AND t.us >= k.us + 30000000
+  GROUP BY k.event_id
+),
+accepted AS (
+  SELECT t.* EXCLUDE (us) FROM timed t JOIN kept k ON k.event_id = t.event_id AND k.us = t.us
+  QUALIFY row_number() OVER (PARTITION BY t.event_id, t.us ORDER BY t.copy) = 1
 )"""
 
 _LOG = """,
@@ -123,19 +135,9 @@ latency AS (
   FROM sampled
 )"""
 
-_WINDOW_ACCEPTED = """,
-timed AS (SELECT *, epoch_us(ingest_ts) AS us FROM deliveries),
-kept(event_id, us) AS (
-  SELECT event_id, min(us) FROM timed GROUP BY event_id
-  UNION ALL
-  SELECT k.event_id, min(t.us) FROM kept k JOIN timed t
-    ON t.event_id = k.event_id AND t.us >= k.us + 30000000
-  GROUP BY k.event_id
-)"""
-
 
-def _with(*relations: str, body: str, recursive: bool = False) -> str:
-    return f"WITH {'RECURSIVE ' if recursive else ''}{''.join(relations)}\n{body.strip()}"
+def _with(*relations: str, body: str) -> str:
+    return f"WITH RECURSIVE {''.join(relations)}\n{body.strip()}"
 
 
 def _accepted(body: str, *more: str) -> str:
@@ -149,7 +151,8 @@ def _log(body: str) -> str:
 _ROW = "event_id, event_type, ts, ingest_ts, user_id, country, device, product_name, category, query, " \
        "CAST(amount AS DOUBLE) AS amount, copy"
 _ORIGINALS = "deliveries WHERE copy < 2"
-_FIRST = f"SELECT {_ROW} FROM accepted"
+_FIRST = f"SELECT {_ROW} FROM firsts"
+_REJECTED = "(SELECT count(*) FROM deliveries) - (SELECT count(*) FROM accepted)"
 
 _STATE = """
 SELECT 'total' AS kind, '' AS key, * FROM (SELECT {m} FROM accepted)
@@ -230,7 +233,7 @@ _BAND = """CASE WHEN {v} > {red} THEN 'red' WHEN {v} > {yellow} THEN 'yellow' EL
 
 # State of the engine after each of the four landed time slices.
 _HISTORY = """,
-spans AS (SELECT epoch_us(min(ingest_ts)) AS lo, epoch_us(max(ingest_ts)) AS hi FROM accepted),
+spans AS (SELECT epoch_us(min(ingest_ts)) AS lo, epoch_us(max(ingest_ts)) AS hi FROM deliveries),
 slices AS (
   SELECT i AS slice, CASE WHEN i = 4 THEN hi + 1 ELSE lo + ((hi - lo) * i) // 4 END AS until_us
   FROM spans, range(1, 5) r(i)
@@ -260,10 +263,7 @@ rates AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    rolling = _with(_BASE, _WINDOW_ACCEPTED, recursive=True, body=f"""
-SELECT {_ROW.replace('event_id,', 't.event_id,', 1)} FROM timed t
-JOIN kept k ON k.event_id = t.event_id AND k.us = t.us
-QUALIFY row_number() OVER (PARTITION BY t.event_id, t.us ORDER BY copy) = 1""")
+    rolling = _accepted(f"SELECT {_ROW} FROM accepted")
     log_row = 'SELECT event_id, copy, partition_id, "offset" FROM log'
     return {
         # event log
@@ -323,6 +323,8 @@ WHERE event_id % 7 <> 0"""),
 SELECT total_events, total_revenue, total_orders,
        coalesce(round(total_revenue / nullif(total_orders, 0), 2), 0) AS avg_order_value, refunds, refund_amount
 FROM kpis""", _KPIS),
+        "active_users_approx": _accepted(
+            "SELECT count(DISTINCT user_id) AS active_users, true AS within_5_pct FROM accepted"),
         "active_users": _accepted("SELECT count(DISTINCT user_id) AS active_users FROM accepted"),
         "funnel": _accepted("SELECT stage_no, stage, event_count FROM stages", _STAGES),
         "top_products": _first_n("products", "product_name"),
@@ -333,7 +335,7 @@ FROM kpis""", _KPIS),
         "device_distribution": _accepted(
             "SELECT device, count(*) AS event_count FROM accepted WHERE device IS NOT NULL GROUP BY device"),
         "top_search_terms": _first_n("terms", "query"),
-        "metrics_snapshot": _snapshot("(SELECT count(*) FROM deliveries) - (SELECT count(*) FROM accepted)"),
+        "metrics_snapshot": _snapshot(_REJECTED),
         # time series
         "revenue_per_minute": _accepted("SELECT minute, revenue FROM minutes", _SECONDS),
         "orders_per_minute": _accepted("SELECT minute, orders FROM minutes", _SECONDS),
@@ -378,7 +380,7 @@ FROM kpis""", _KPIS),
         # dedup and state
         "dedup_first": _accepted(_FIRST),
         "dedup_window": rolling,
-        "dedup_report": _with(_BASE, _WINDOW_ACCEPTED, recursive=True, body="""
+        "dedup_report": _with(_BASE, body="""
 SELECT d AS delivered, a AS accepted, d - a AS duplicates_rejected, i AS duplicates_injected,
        least(100, CAST(round((d - a) / i * 100) AS BIGINT)) AS dedup_effectiveness_pct
 FROM (SELECT (SELECT count(*) FROM timed) AS d, (SELECT count(*) FROM kept) AS a,
@@ -391,8 +393,15 @@ FROM (SELECT (SELECT count(*) FROM timed) AS d, (SELECT count(*) FROM kept) AS a
         "stream_sink": _accepted(f"SELECT {_ROW} FROM {_ORIGINALS} AND event_type = 'purchase'"),
         "stream_restart_dedup": _accepted(_FIRST),
         "stream_dedup_exact": rolling,
-        "stream_maintain": _accepted(_STATE),
-        "stream_publish": _snapshot("0"),
+        "stream_maintain": _accepted(_STATE + f"""
+UNION ALL SELECT 'duplicates', '', {_REJECTED}, 0, 0, 0, 0, TIMESTAMP '1970-01-01'"""),
+        "stream_late_rows": _with(_BASE, body="""
+SELECT count(*) AS events, count(*) FILTER (event_type = 'purchase') AS orders,
+       count(*) FILTER (event_type = 'refund') AS refunds,
+       CAST(coalesce(sum(amount) FILTER (event_type = 'purchase'), 0) AS DOUBLE) AS revenue,
+       CAST(coalesce(sum(amount) FILTER (event_type = 'refund'), 0) AS DOUBLE) AS refunded
+FROM commerce"""),
+        "stream_publish": _snapshot(_REJECTED),
         "metric_history": _accepted("""
 SELECT CAST(slice - 1 AS BIGINT) AS sample_no, current_eps, avg_eps_5s, p50 AS p50_latency_ms, p99 AS p99_latency_ms
 FROM rates JOIN ranks USING (slice)""", _HISTORY),
@@ -403,8 +412,8 @@ FROM (SELECT copy, count(*) AS c FROM deliveries WHERE copy < 2 GROUP BY copy)""
 SELECT time_bucket(INTERVAL 1 DAY, ingest_ts) AS window_start,
        time_bucket(INTERVAL 1 DAY, ingest_ts) + INTERVAL 1 DAY AS window_end,
        CAST(coalesce(sum(amount) FILTER (event_type = 'purchase'), 0) AS DOUBLE) AS result, count(*) AS count
-FROM accepted
+FROM firsts
 WHERE time_bucket(INTERVAL 1 DAY, ingest_ts) + INTERVAL 1 DAY
-      <= (SELECT max(ingest_ts) - INTERVAL 30 SECOND FROM accepted)
+      <= (SELECT max(ingest_ts) - INTERVAL 30 SECOND FROM firsts)
 GROUP BY 1, 2"""),
     }

@@ -35,7 +35,8 @@ def naive(df: DataFrame) -> DataFrame:
 
 
 def accepted(spark: SparkSession, sf_dir: str, columns: list[str] = FLAT_COLUMNS) -> DataFrame:
-    return dedup.first_delivery(fixture.resent(spark, sf_dir, columns=columns))
+    """The deliveries that the 30 s rule accepts: the input of all metrics."""
+    return dedup.dedup_window(fixture.resent(spark, sf_dir, columns=columns))
 
 
 def on_accepted(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
@@ -45,6 +46,19 @@ def on_accepted(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Qu
     return lambda spark, sf_dir: naive(operator(accepted(spark, sf_dir, wanted)))
 
 
+def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first delivery of each id, without an end of the window."""
+    return naive(dedup.first_delivery(fixture.resent(spark, sf_dir)))
+
+
+def active_users_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact number of users, and whether the estimate is within 5 % of it."""
+    clean = accepted(spark, sf_dir, ["event_id", "ingest_ts", "user_id"])
+    exact, about = metrics.active_users(clean), metrics.active_users_approx(clean)
+    return exact.select("active_users", (
+        F.abs(about.scalar() - F.col("active_users")) <= F.col("active_users") * 0.05).alias("within_5_pct"))
+
+
 # --- event log ------------------------------------------------------------------
 
 _built: dict[tuple, str] = {}
@@ -279,7 +293,7 @@ def _snapshot_rows(snapshot: DataFrame) -> DataFrame:
 def metrics_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All served metrics from one pass over the accepted deliveries, written once."""
     raw = fixture.resent(spark, sf_dir)
-    clean = materialize(dedup.first_delivery(raw), "accepted")
+    clean = materialize(dedup.dedup_window(raw), "accepted")
     rejected = raw.agg((F.count("*") - F.lit(clean.count())).alias("duplicates_rejected"))
     state = st.with_duplicates(st.build_state(clean), rejected)
     return _snapshot_rows(st.snapshot(_written(state)))
@@ -290,7 +304,8 @@ def _state_rows(state: st.MetricState) -> DataFrame:
     return naive(state.partials.select(
         "kind", F.coalesce("key", F.unix_seconds("bucket").cast("string"), F.lit("")).alias("key"),
         "events", "orders", "refunds",
-        metrics.money("revenue").alias("revenue"), metrics.money("refunded").alias("refunded"), "first_seen",
+        metrics.money("revenue").alias("revenue"), metrics.money("refunded").alias("refunded"),
+        F.coalesce("first_seen", F.timestamp_seconds(F.lit(0))).alias("first_seen"),
     ))
 
 
@@ -331,15 +346,18 @@ _LANDED = [*FLAT_COLUMNS, "copy"]
 
 
 class _Landing:
-    """A landing folder filled from ``sf_dir`` in time order, resends last."""
+    """A landing folder filled from ``sf_dir``: originals in time order and then the early
+    resends, or, with ``in_time``, all deliveries in the order of their arrival."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, slices: int = SLICES):
-        deliveries = materialize(fixture.resent(spark, sf_dir, late_copies=False), "deliveries")
+    def __init__(self, spark: SparkSession, sf_dir: str, slices: int = SLICES, in_time: bool = False):
+        deliveries = materialize(fixture.resent(spark, sf_dir, late_copies=in_time), "deliveries")
         self.spark, self.schema = spark, deliveries.schema
         self.work = fresh_dir(spark, "stream")
         self.path = f"{self.work}/landing"
         originals = deliveries.where("copy = 0")
-        self.batches = [*streams.split_by_time(originals, slices), deliveries.where("copy > 0")]
+        self.batches = (
+            streams.split_by_time(deliveries, slices) if in_time
+            else [*streams.split_by_time(originals, slices), deliveries.where("copy > 0")])
 
     def land(self, *numbers: int) -> None:
         streams.land([self.batches[i] for i in numbers], self.path)
@@ -397,7 +415,7 @@ def stream_dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily revenue of a deduplicated stream; a day is emitted once, when it closes."""
     landing = _Landing(spark, sf_dir, 2)
-    revenue = metrics.money(metrics.cents_of(metrics.is_purchase()))
+    revenue = metrics.money(metrics.total_of(metrics.is_purchase()))
     for number in (0, 1, 2):
         landing.land(number)
         days = streams.windowed_stream(
@@ -408,23 +426,36 @@ def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_maintain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State kept up to date by a stream with a restart, read as base plus batches."""
-    landing = _Landing(spark, sf_dir, 2)
-    table = StateTable(spark, landing.dir("state"))
-    for number in (0, 1, 2):
+    landing = _Landing(spark, sf_dir, 2, in_time=True)
+    return _state_rows(_maintained(landing, (0, 1)).read())
+
+
+def _maintained(landing: _Landing, order: tuple[int, ...]) -> StateTable:
+    """The state after the landing's batches have come in this order, with a restart after each."""
+    table = StateTable(landing.spark, landing.dir("state"))
+    handler = maintain.fold_batches(table, dedup=RollingDedup(landing.spark, landing.dir("dedup")))
+    for number in order:
         landing.land(number)
-        streams.run_batches(
-            streams.dedup_stream(landing.stream()), maintain.fold_batches(table), landing.dir("ckpt"))
-    return _state_rows(table.read())
+        streams.run_batches(landing.stream(), handler, landing.dir("ckpt"))
+    return table
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a stream whose batches come newest first: every late first delivery counts."""
+    landing = _Landing(spark, sf_dir, 3)
+    return _state_rows(_maintained(landing, (2, 1, 0)).read()).where("kind = 'total'").select(
+        "events", "orders", "refunds", "revenue", "refunded")
 
 
 def _publish(spark: SparkSession, sf_dir: str, slices: int, **options) -> str:
     """Run the publishing stream over all slices; returns the published folder."""
-    landing = _Landing(spark, sf_dir, slices)
+    landing = _Landing(spark, sf_dir, slices, in_time=True)
     table = StateTable(spark, landing.dir("state"))
-    handler = maintain.publish_batches(table, landing.dir("published"), **options)
-    for number in range(slices + 1):
+    handler = maintain.publish_batches(
+        table, landing.dir("published"), dedup=RollingDedup(spark, landing.dir("dedup")), **options)
+    for number in range(slices):
         landing.land(number)
-        streams.run_batches(streams.dedup_stream(landing.stream()), handler, landing.dir("ckpt"))
+        streams.run_batches(landing.stream(), handler, landing.dir("ckpt"))
     return landing.dir("published")
 
 
@@ -463,12 +494,12 @@ def queries() -> dict[str, Query]:
         route_by_key, route_round_robin, assign_offsets, log_append, log_scan, replay, retain_newest_half,
         shard_rollup, health_bands, state_log_scan, dedup_window, dedup_report, metrics_snapshot,
         incremental_merge, snapshot_roundtrip, compact_partials, stream_bounded_read, stream_sink,
-        stream_restart_dedup, stream_dedup_exact, stream_window, stream_maintain, stream_publish,
+        stream_restart_dedup, stream_dedup_exact, stream_window, stream_maintain, stream_late_rows, stream_publish,
+        dedup_first, active_users_approx,
         metric_history, stream_progress,
     ]
     sales = ("event_type", "amount")
     over_accepted = {
-        "dedup_first": on_accepted(lambda df: df),
         "pipe_filter": on_accepted(pipe_filter, *sales, "user_id"),
         "pipe_map": on_accepted(pipe_map, *sales),
         "pipe_filter_map": on_accepted(pipe_filter_map, *sales),
@@ -476,7 +507,6 @@ def queries() -> dict[str, Query]:
         "pipe_window_udaf": on_accepted(pipe_window_udaf, *sales),
         "kpi_totals": on_accepted(metrics.kpi_totals, *sales),
         "active_users": on_accepted(metrics.active_users, "user_id"),
-        "active_users_approx": on_accepted(metrics.active_users_approx, "user_id"),
         "funnel": on_accepted(metrics.funnel, "event_type"),
         "top_products": on_accepted(metrics.top_products, "event_type", "product_name"),
         "top_categories": on_accepted(top_categories, "event_type", "category"),

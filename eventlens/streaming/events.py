@@ -19,6 +19,8 @@ def land(batches: list[DataFrame], path: str) -> None:
 def split_by_time(df: DataFrame, n: int, time_col: str = "ingest_ts") -> list[DataFrame]:
     """Cut a frame into n consecutive equal time spans."""
     lo, hi = df.agg(F.min(F.unix_micros(time_col)), F.max(F.unix_micros(time_col))).first()
+    if lo is None:  # no rows to cut
+        return [df] * n
     us = F.unix_micros(time_col)
     edges = [lo + (hi - lo) * i // n for i in range(n)] + [hi + 1]
     return [df.where((us >= edges[i]) & (us < edges[i + 1])) for i in range(n)]

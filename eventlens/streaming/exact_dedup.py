@@ -20,8 +20,10 @@ class RollingDedup:
     """foreachBatch handler writing ``accepted/``, ``seen/`` and ``report/`` below ``path``.
 
     All three are keyed by batch id and overwritten on retry. A batch sees the
-    state of the batch before it. Times must not run backwards across batches: a
-    delivery older than the last accepted one of its id is rejected.
+    state of the batch before it. A first delivery is accepted however late it comes;
+    a repeat is rejected if it lies within the window of the last accepted delivery of
+    its id, before or after it. Ids are remembered for the window behind the newest
+    delivery of a batch.
     """
 
     def __init__(
@@ -37,6 +39,18 @@ class RollingDedup:
             self._handle(materialize(batch, "batch"), batch_id)
         delete_folder(self.spark, f"{self.path}/seen/batch_id={batch_id - KEPT_STATES}")
 
+    def accept(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """(accepted rows, one row with ``duplicates_rejected``) of a written micro-batch, for
+        a handler that goes on with them; earlier batches' accepted rows are not kept."""
+        self._handle(batch, batch_id)
+        for kind in ("accepted", "seen"):
+            delete_folder(self.spark, f"{self.path}/{kind}/batch_id={batch_id - KEPT_STATES}")
+        report = self.spark.read.parquet(f"{self.path}/report/batch_id={batch_id}")
+        return (
+            self.spark.read.schema(batch.schema).parquet(f"{self.path}/accepted/batch_id={batch_id}"),
+            report.select((F.col("delivered") - F.col("accepted")).alias("duplicates_rejected")),
+        )
+
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
         width = int(self.window_seconds * 1_000_000)
         us = F.unix_micros(self.time_col)
@@ -45,7 +59,7 @@ class RollingDedup:
         if seen is not None:
             fresh = (
                 join_ids(batch, self.id_col, seen, seen.count(), "left", self._busy(batch))
-                .where(F.col("_seen_us").isNull() | (us - F.col("_seen_us") >= width))
+                .where(F.col("_seen_us").isNull() | (F.abs(us - F.col("_seen_us")) >= width))
                 .select(*batch.columns)
             )
         accepted = materialize(

@@ -1,4 +1,9 @@
-"""Continuous maintenance of the metric state from a deduplicated stream."""
+"""Continuous maintenance of the metric state from a stream of deliveries.
+
+With a `RollingDedup` in front, the stream may hold repeats: each micro-batch adds its
+accepted rows and the count of those rejected, and no first delivery is lost, however late.
+Without one, the stream must be deduplicated already.
+"""
 
 from __future__ import annotations
 
@@ -9,12 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventlens.operators import state as st, timeseries as ts
 from eventlens.session import delete_folder, materialize, read_or_none, stages
 from eventlens.sources.snapshots import StateTable
+from eventlens.streaming.exact_dedup import RollingDedup
 
 HISTORY_LENGTH = 60  # fixed value: samples of the served history
 BATCHES_PER_BASE = 50
 
 
-def fold_batches(table: StateTable, batches_per_base: int = BATCHES_PER_BASE) -> Callable[[DataFrame, int], None]:
+def fold_batches(
+    table: StateTable, batches_per_base: int = BATCHES_PER_BASE, dedup: RollingDedup | None = None,
+) -> Callable[[DataFrame, int], None]:
     """foreachBatch handler: store the state of each micro-batch under its id.
 
     Every ``batches_per_base`` batches the stored ones are compacted, so readers
@@ -23,19 +31,26 @@ def fold_batches(table: StateTable, batches_per_base: int = BATCHES_PER_BASE) ->
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         with stages(batch.sparkSession):
-            _fold(table, batch, batch_id, batches_per_base)
+            _fold(table, batch, batch_id, batches_per_base, dedup)
 
     return handle
 
 
-def _fold(table: StateTable, batch: DataFrame, batch_id: int, batches_per_base: int) -> bool:
+def _fold(
+    table: StateTable, batch: DataFrame, batch_id: int, batches_per_base: int, dedup: RollingDedup | None,
+) -> bool:
     """Whether the batch had rows."""
     # Two aggregates read the batch; writing it first keeps the stateful part above
     # from running twice.
     rows = materialize(batch, "batch")
     if rows.isEmpty():
         return False
-    table.write_batch(batch_id, st.build_state(rows))
+    if dedup is None:
+        state = st.build_state(rows)
+    else:
+        accepted, rejected = dedup.accept(rows, batch_id)
+        state = st.with_duplicates(st.build_state(accepted), rejected)
+    table.write_batch(batch_id, state)
     if batch_id % batches_per_base == batches_per_base - 1:
         table.compact()
         table.drop_folded()
@@ -43,7 +58,7 @@ def _fold(table: StateTable, batch: DataFrame, batch_id: int, batches_per_base:
 
 
 def publish_batches(
-    table: StateTable, path: str, batches_per_base: int = BATCHES_PER_BASE,
+    table: StateTable, path: str, batches_per_base: int = BATCHES_PER_BASE, dedup: RollingDedup | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Like `fold_batches`, and publishes the full snapshot and one history sample
     per trigger that brought rows. Only recent publications are kept."""
@@ -51,7 +66,7 @@ def publish_batches(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with stages(spark):
-            if not _fold(table, batch, batch_id, batches_per_base):
+            if not _fold(table, batch, batch_id, batches_per_base, dedup):
                 return
             merged = table.read()
             state = st.MetricState(
