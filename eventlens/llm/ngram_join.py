@@ -3,9 +3,10 @@
 Two sets of Jaccard similarity t share an n-gram among the first |x| - ceil(t |x|) + 1 of
 each, in any one order of all n-grams. That is used twice:
 
-1. In the order of the n-grams' numbers, the first ones of all sets are counted. A set
-   that shares none of them with another set is linked with nothing and is left at that;
-   this needs no counts of all n-grams.
+1. In the order of the n-grams' numbers, the first ones of all sets are counted. With
+   k - 1 n-grams more than the prefix, similar sets share k of them, so a set of which
+   fewer are found elsewhere is linked with nothing and is left at that. This needs no
+   counts of all n-grams.
 2. For the others, all n-grams are counted and ordered rare first. N-grams of one set only
    come first and match nothing, so only what follows them in the prefix is indexed.
 
@@ -33,10 +34,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from eventlens.llm.components import components
 from eventlens.llm.rows import ROW, identified, with_text
 from eventlens.llm.tokens import as_long, joined, list_of_longs, slices, window_numbers, word_numbers
-from eventlens.session import materialize
+from eventlens.session import broadcast_if_small, materialize
 
 WORDS = 5
 PERCENT = 80
+EXTRA = 20  # a set of n has n / EXTRA n-grams more than its prefix in the first count
 CELLS = 16  # parts of the number range in the suffix filter
 STAR_ROUNDS = 2
 
@@ -63,6 +65,11 @@ def _required(n):
     return -(-PERCENT * n // 100)
 
 
+def _ahead(n):
+    """How many of the n-grams in the first count a set of n shares with a larger similar one."""
+    return 1 + n // EXTRA
+
+
 def _summaries(rows: DataFrame, words: int) -> DataFrame:
     """Per row: size and number of its set, and the first n-grams of it in number order."""
 
@@ -70,16 +77,14 @@ def _summaries(rows: DataFrame, words: int) -> DataFrame:
         for batch in slices(batches):
             sets = _ngram_sets(batch["text"], words)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            probes = [s[:len(s) - _required(len(s)) + 1] if len(s) else None for s in sets]
+            probes = [s[:len(s) - _required(len(s)) + _ahead(len(s))] if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["key"], batch["rid"], pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(digests, pa.binary()),
-                 pa.array([int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64()),
-                 list_of_longs(probes)],
-                names=["doc_id", "key", "rid", "n", "node", "fold", "probes"])
+                 pa.array(digests, pa.binary()), list_of_longs(probes)],
+                names=["doc_id", "key", "rid", "n", "digest", "probes"])
 
     return rows.select("doc_id", "key", "rid", "text").mapInArrow(
-        summarize, "doc_id long, key long, rid long, n long, node binary, fold long, probes array<long>")
+        summarize, "doc_id long, key long, rid long, n long, digest binary, probes array<long>")
 
 
 def _full_sets(chosen: DataFrame, words: int) -> DataFrame:
@@ -94,18 +99,18 @@ def _full_sets(chosen: DataFrame, words: int) -> DataFrame:
                 names=["node", "n", "grams", "cells"])
 
     return chosen.select("node", "text").mapInArrow(
-        build, "node binary, n long, grams array<long>, cells array<long>")
+        build, "node long, n long, grams array<long>, cells array<long>")
 
 
 def _index(full: DataFrame) -> DataFrame:
     """(gram, node, n, place, known): the part of each set's rare-first prefix that other sets
     share; ``known`` is the share of its n-grams found elsewhere."""
-    grams = full.select("node", "n", F.explode("grams").alias("gram"))
+    grams = full.select("node", F.explode("grams").alias("gram"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("sets")).filter("sets > 1")
     own = W.partitionBy("node")
     shared = grams.join(counts, "gram").select(
-        "gram", "node", "n", F.count("*").over(own).alias("elsewhere"),
-        F.row_number().over(own.orderBy("sets", "gram")).alias("rank"))
+        "gram", "node", F.count("*").over(own).alias("elsewhere"),
+        F.row_number().over(own.orderBy("sets", "gram")).alias("rank")).join(full.select("node", "n"), "node")
     place = F.col("n") - F.col("elsewhere") + F.col("rank") - 1
     prefix = F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1
     return shared.filter(100 * F.col("elsewhere") >= PERCENT * F.col("n")).select(
@@ -171,17 +176,35 @@ def _open_lists(index: DataFrame, roots: DataFrame | None) -> DataFrame:
     return materialize(parted.join(several.select("gram"), "gram"), "lists")
 
 
+def _sharing(summary: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes of which enough n-grams of the first count are found in other sets.
+
+    48 bits of an n-gram do here: a chance agreement only lets a set stay. An n-gram of two
+    sets names both in its aggregate; only those of more sets are looked up again.
+    """
+    copies = summary.select("id", "digest").join(nodes, "digest").filter("id <> node").select("id")
+    copies, _ = broadcast_if_small(copies, copies.count())
+    lone = summary.select("id", "probes").join(copies, "id", "left_anti")
+    grams = lone.select("id", F.explode("probes").alias("gram")).select(
+        "id", F.call_function("shiftrightunsigned", F.col("gram"), F.lit(16)).alias("gram"))
+    counts = materialize(grams.groupBy("gram").agg(
+        F.count("*").alias("sets"), F.min("id").alias("low"), F.max("id").alias("high")).filter("sets > 1"), "counts")
+    two = counts.filter("sets = 2").select(F.explode(F.array("low", "high")).alias("id"))
+    more = counts.filter("sets > 2").select("gram")
+    more, _ = broadcast_if_small(more, more.count())
+    met = two.unionByName(grams.join(more, "gram").select("id")).groupBy("id").agg(F.count("*").alias("met"))
+    needed = 1 + F.floor(F.ceil(PERCENT * F.col("n") / 100) / EXTRA)  # of the smallest similar set
+    return met.join(summary.select("id", "n", *ROW), "id").filter(F.col("met") >= needed).select(
+        F.col("id").alias("node"), *ROW)
+
+
 def linked_sets(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): the set of each row of (doc_id, text) as ``node`` with its size ``n``,
     and (node, root) of the connected nodes that are not roots themselves."""
     rows = identified(docs.select("doc_id", "text"))
-    summary = materialize(_summaries(rows, words), "sets")
-
-    probes = summary.select("node", "fold", F.explode("probes").alias("gram"))
-    met = probes.groupBy("gram").agg(F.min("fold").alias("low"), F.max("fold").alias("high")).filter("low < high")
-    sharing = probes.join(met.select("gram"), "gram").select("node").distinct()
-    first = summary.groupBy("node").agg(F.min(F.struct(*ROW)).alias("row"))
-    chosen = materialize(first.join(sharing, "node").select("node", "row.*"), "sharing")
+    summary = materialize(_summaries(rows, words).withColumn("id", F.monotonically_increasing_id()), "sets")
+    nodes = materialize(summary.groupBy("digest").agg(F.min("id").alias("node")), "nodes")
+    chosen = materialize(_sharing(summary, nodes), "sharing")
     full = materialize(_full_sets(with_text(chosen, rows), words), "grams")
 
     index = materialize(_index(full), "index")
@@ -196,7 +219,7 @@ def linked_sets(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFra
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     if roots is None:
         roots = chosen.select("node", F.col("node").alias("root")).limit(0)
-    return summary, roots
+    return summary.drop("probes").join(nodes, "digest").select("doc_id", *ROW, "n", "node"), roots
 
 
 def component_ids(docs: DataFrame, words: int = WORDS) -> DataFrame:
