@@ -16,9 +16,9 @@ def test_revenue_orders_and_average(events):
 
 
 def test_refunds_do_not_reduce_revenue(events):
-    df = events({"event_type": "purchase", "amount": 99.99}, {"event_type": "refund", "amount": 49.99})
+    df = events({"event_type": "purchase", "amount": 8.75}, {"event_type": "refund", "amount": 3.25})
     kpi = metrics.kpi_totals(df).first()
-    assert (kpi.total_revenue, kpi.refunds, kpi.refund_amount) == (99.99, 1, 49.99)
+    assert (kpi.total_revenue, kpi.refunds, kpi.refund_amount) == (8.75, 1, 3.25)
     assert derived.refund_rate(df).first().refund_rate_pct == 100.0
 
 
@@ -55,7 +55,7 @@ def test_devices_terms_and_nulls(events):
     df = events({"event_type": "search_query", "query": "q1"}, {"event_type": "page_view", "query": "q2"},
                 {"device": None}, {"event_type": "search_query", "query": "q1", "device": "tablet"})
     assert [(r["query"], r.event_count) for r in metrics.top_search_terms(df).collect()] == [("q1", 2)]
-    assert rows(metrics.device_distribution(df)) == [("desktop", 2), ("tablet", 1)]
+    assert rows(metrics.device_distribution(df)) == [("kiosk", 2), ("tablet", 1)]
 
 
 def test_funnel_conversion(events):
@@ -149,3 +149,16 @@ def test_plans_of_the_metrics(events):
     for hashed in (metrics.kpi_totals(df), ts.per_minute(df), metrics.key_counts(df, "country")):
         text = plan(hashed)
         assert text.count("HashAggregate") == 2 and "SortAggregate" not in text and "Python" not in text
+
+
+def test_small_amounts_add_up_before_they_are_rounded(spark):
+    df = spark.range(1000).selectExpr("'purchase' AS event_type", "0.004D AS amount")
+    assert metrics.kpi_totals(df).first().total_revenue == 4.0
+
+
+def test_amounts_that_are_none_do_not_stop_a_total(spark):
+    df = spark.createDataFrame(
+        [("purchase", v) for v in (2.5, float("nan"), float("inf"), 1e300, None)], "event_type string, amount double")
+    kpi = metrics.kpi_totals(df).first()
+    assert (kpi.total_revenue, kpi.total_orders) == (2.5, 5)
+    assert metrics.rejected_amounts(df).first()[0] == 3

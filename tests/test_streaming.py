@@ -146,3 +146,8 @@ def test_ingest_stamp_and_processing_time_trigger(spark, events, feed):
     finally:
         query.stop()
     assert [r.event_id for r in seen] == ["e_0"]
+
+
+def test_an_empty_frame_has_empty_slices(events):
+    empty = events({}).limit(0)
+    assert [part.count() for part in streams.split_by_time(empty, 3)] == [0, 0, 0]
