@@ -278,10 +278,10 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
 def _tokenized(docs, tokenizer_path, text_col, keep_text, digests):
     # plain values, of the size of the vocabulary
     spread = docs.sparkSession.sparkContext.broadcast(vars(Tables(tokenizer_path)))
-    kept = [c for c in docs.columns if keep_text or c != text_col]
     added = {"n_tokens": (pa.int64(), "long")} | (
         {"ids_sha256": (pa.string(), "string"), "decoded_sha256": (pa.string(), "string")} if digests
         else {"ids": (pa.list_(pa.int32()), "array<int>"), "decoded": (pa.string(), "string")})
+    kept = [c for c in docs.columns if (keep_text or c != text_col) and c not in added]
 
     def run(batches):
         tables = SimpleNamespace(**spread.value)

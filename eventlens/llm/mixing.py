@@ -84,14 +84,16 @@ def apportion(df: DataFrame, group: list[str], ident: str, weight: str, seats: s
 
 
 def mix(docs: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, key_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target`` and ``taken``, the words that the
-    mix takes of the row (``taken // size`` whole copies, then its first words)."""
+        text_col: str = "text", source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
+    """``row``, ``size``, ``source_size``, ``target`` and ``taken``, the words that the mix
+    takes of the row (``taken // size`` whole copies, then its first words). ``row`` holds
+    the columns of ``docs``, or those named in ``carry``."""
     size = word_count(docs[text_col])
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(docs[key_col].cast("string"), F.lit("null"))))
-    sized = docs.withColumns({"size": size, "_order": order, "_tie": F.xxhash64(text_col)})
-    narrow = docs.select(docs[key_col], docs[source_col].alias("source"), size.alias("size"))
-    by_source = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sized = docs.select(
+        F.struct(*[docs[c] for c in carry or docs.columns]).alias("row"), docs[key_col].alias("_key"),
+        docs[source_col].alias("_from"), size.alias("size"), order.alias("_order"), F.xxhash64(docs[text_col]).alias("_tie"))
+    by_source = sized.select(F.col("_from").alias("source"), "size").groupBy("source").agg(F.sum("size").alias("source_size"))
     total = F.sum("target").over(W.partitionBy())
     aimed = targets(by_source).withColumns({
         "_all": F.lit(0), "_seats": F.round(total / block_words).cast("long"),
@@ -100,7 +102,7 @@ def mix(docs: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, key_c
         F.col("source").alias("_source"), "source_size", "target", "_shards", F.col("quota").alias("_quota"))
 
     aimed, _ = broadcast_if_small(aimed, docs.select(source_col).distinct().count())
-    placed = sized.join(aimed, sized[source_col].eqNullSafe(aimed["_source"])).withColumn(
+    placed = sized.join(aimed, F.col("_from").eqNullSafe(F.col("_source"))).withColumn(
         "_shard", F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") % F.col("_shards"))
     shards = placed.groupBy("_source", "_shard").agg(
         F.sum("size").alias("_shard_size"), F.first("_quota").alias("_quota"))
@@ -108,7 +110,7 @@ def mix(docs: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, key_c
         F.col("_source").alias("_s"), F.col("_shard").alias("_h"), "_shard_size",
         F.least(F.col("quota") * block_words, REPEAT * F.col("_shard_size")).alias("_words"))
 
-    lies = W.partitionBy("_source", "_shard").orderBy("_order", key_col, "size", "_tie")
+    lies = W.partitionBy("_source", "_shard").orderBy("_order", "_key", "size", "_tie")
     start = F.coalesce(F.sum("size").over(lies.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     laid = placed.withColumn("_start", start)
     on = laid["_source"].eqNullSafe(shards["_s"]) & (laid["_shard"] == shards["_h"])
@@ -116,17 +118,18 @@ def mix(docs: DataFrame, seed: int = SEED, block_words: int = BLOCK_WORDS, key_c
     rest = F.col("_words") - rounds * F.col("_shard_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start")))
     return laid.join(shards, on).select(
-        *docs.columns, "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken"))
+        "row", "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED, text_col: str = "text") -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a row for each whole copy that is
     taken and one, cut after its last word that is taken, for a part."""
     mixed = mix(docs, seed, text_col=text_col)
-    words = F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.col("row")[text_col]
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
     cut = F.when(part > 0, F.array(F.array_join(F.slice(words, F.lit(1), part), " "))).otherwise(
         F.array().cast("array<string>"))
-    texts = F.concat(F.array_repeat(F.col(text_col), whole), cut)
+    texts = F.concat(F.array_repeat(text, whole), cut)
     return mixed.filter("taken > 0").select(
-        *[F.col(c) if c != text_col else F.explode(texts).alias(c) for c in docs.columns])
+        *[F.col("row")[c].alias(c) if c != text_col else F.explode(texts).alias(c) for c in docs.columns])

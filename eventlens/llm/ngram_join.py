@@ -239,5 +239,6 @@ def keep_one_per_group(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` that are the first of their component; of repeated rows one."""
     groups = component_ids(docs, words)
     dropped = groups.filter(F.col("doc_id") != F.col("component_id")).select(ROW).distinct()
-    kept = identified(docs).join(dropped, ROW, "left_anti")
-    return kept.dropDuplicates(ROW).select(*docs.columns)
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = identified(docs.select("doc_id", "text", whole)).drop("doc_id", "text")
+    return rows.join(dropped, ROW, "left_anti").dropDuplicates(ROW).select("row.*")

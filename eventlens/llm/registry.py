@@ -27,7 +27,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs, carry=["doc_id"]).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 NEAREST = 10

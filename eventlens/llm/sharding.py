@@ -12,7 +12,7 @@ frequent key nor a frequent content gathers in one window, unless whole rows rep
 
 Defined results: a null key is one key of its own; a null or empty text has size 1 and
 checksum 0; repeated rows get slots of their own; a table without rows gives none; extra
-columns pass through `shard_rows` if their names differ from the ones it adds.
+columns pass through `shard_rows`, but one named like a column it adds gives way.
 """
 
 from collections.abc import Mapping
@@ -49,9 +49,9 @@ def shard_rows(
 ) -> DataFrame:
     """``docs`` without the text, plus ``size``, ``text_crc32``, ``shard``, ``slot`` and,
     if ``grown`` weights are given, ``grown_shard``, the shard under those."""
-    text = F.coalesce(docs[text_col], F.lit(""))
+    text, added = F.coalesce(docs[text_col], F.lit("")), ("size", "text_crc32", "shard", "slot", "grown_shard")
     placed = docs.select(
-        *[docs[c] for c in docs.columns if c != text_col],
+        *[docs[c] for c in docs.columns if c != text_col and c not in added],
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         rendezvous(docs[key_col], weights).alias("shard"),

@@ -65,7 +65,8 @@ def test_ngram_join(docs, nulls):
     same = ngram_join.component_ids(nulls).collect()
     assert sorted(str(r.component_id) for r in same) == ["1", "1", "None"]
     kept = ngram_join.keep_one_per_group(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 6, 7]
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 6, 7, 10]
+    assert {r.key for r in kept.collect()} == {"x"}
 
 
 def test_ngram_join_of_many_near_copies(spark):
@@ -107,7 +108,7 @@ def test_suffix(spark, nulls, group, monkeypatch):
 
 def test_mixing(docs, nulls):
     rows = mixing.mix(docs).collect()
-    assert len(rows) == len(DOCS) and all(0 <= r.taken <= 2 * r["size"] for r in rows if r["size"] is not None)
+    assert len(rows) == len(DOCS) and all(0 <= r.taken <= 2 * r["size"] for r in rows) and {r.row["size"] for r in rows} == {"y"}
     assert mixing.mix(nulls).count() == 3 and mixing.mix(docs.limit(0)).count() == 0
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns and mixed.filter("text = '' or text is null").isEmpty()
@@ -122,14 +123,14 @@ def test_apportionment_follows_the_highest_quotients(spark):
 
 
 def test_sharding(docs, nulls):
-    rows = sharding.shard_rows(docs.drop("size"), sharding.equal(3)).collect()
+    rows = sharding.shard_rows(docs, sharding.equal(3)).collect()
     for shard in range(3):
         slots = sorted(r.slot for r in rows if r.shard == shard)
         assert slots == list(range(len(slots)))
     assert {r["size"] for r in rows if r.doc_id in (1, 2)} == {1}
     assert len({r.shard for r in rows if r.doc_id == 5}) == 1
-    assert sharding.shard_rows(nulls.drop("size"), sharding.equal(2)).count() == 3
-    assert sharding.shard_rows(docs.drop("size").limit(0), sharding.equal(2)).count() == 0
+    assert sharding.shard_rows(nulls, sharding.equal(2)).count() == 3
+    assert sharding.shard_rows(docs.limit(0), sharding.equal(2)).count() == 0
 
 
 def test_weights_of_shards(spark):
@@ -172,7 +173,7 @@ def test_warc(spark):
 
 
 def test_bpe(docs, nulls):
-    rows = bpe.encode(docs.drop("size"), path("word_bpe_49k.json")).collect()
+    rows = bpe.encode(docs, path("word_bpe_49k.json")).collect()
     assert {r.doc_id: r.n_tokens for r in rows if r.doc_id in (1, 2, 3)} == {1: 0, 2: 0, 3: 0}
     assert all(len(r.ids) == r.n_tokens for r in rows)
     assert bpe.encode_digests(nulls, path("word_bpe_49k.json")).count() == 3
