@@ -23,15 +23,19 @@ def _starred(edges: DataFrame, larger: bool) -> DataFrame:
     return made.filter("a > b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a node that has none."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    nodes = ends.groupBy("v").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.filter((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the edges (a, b) but the roots themselves; the root is
     the least node of the component."""
     edges = materialize(edges.select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "edges")
-    state = None
-    while True:
+    while not _settled(edges):
         edges = materialize(_starred(_starred(edges, True), False), "edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        state = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
