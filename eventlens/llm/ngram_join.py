@@ -41,6 +41,7 @@ PERCENT = 80
 EXTRA = 20  # a set of n has n / EXTRA n-grams more than its prefix in the first count
 CELLS = 16  # parts of the number range in the suffix filter
 STAR_ROUNDS = 2
+HEAD = 32  # earlier n-grams that an entry carries when lists are compared in pairs
 
 
 def _ngram_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -158,10 +159,23 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 
 def _all_pairs(lists: DataFrame) -> DataFrame:
-    """The entries of each list with those of other components."""
-    met = lists.alias("x").join(lists.alias("y"), (F.col("x.gram") == F.col("y.gram"))
-                                & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part"))
-                                & _possible())
+    """The entries of each list with those of other components.
+
+    A pair is meant to be made in the first list it shares: entries carry up to `HEAD` of
+    their set's n-grams in earlier lists, and meet only if these have none in common. What
+    can still be shared is then what follows, and what of the earlier ones is not carried.
+    """
+    own = W.partitionBy("node").orderBy("place")
+    heads = lists.groupBy("node").agg(F.transform(
+        F.slice(F.sort_array(F.collect_list(F.struct("place", "gram"))), 1, HEAD), lambda e: e["gram"]).alias("head"))
+    ranked = lists.withColumn("before", F.row_number().over(own) - 1).join(heads, "node").select(
+        "gram", "node", "n", "place", "part", F.slice("head", F.lit(1), F.least("before", F.lit(HEAD))).alias("head"),
+        F.greatest(F.lit(0), F.col("before") - HEAD).alias("rest"))
+    left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    still = _enough(left + F.col("x.rest") + F.col("y.rest"), F.col("x.n"), F.col("y.n"))
+    met = ranked.alias("x").join(ranked.alias("y"), (F.col("x.gram") == F.col("y.gram"))
+                                 & (F.col("x.node") < F.col("y.node")) & (F.col("x.part") != F.col("y.part"))
+                                 & _possible() & still & ~F.arrays_overlap("x.head", "y.head"))
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
