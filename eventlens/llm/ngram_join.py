@@ -20,14 +20,15 @@ the one that has most of its n-grams elsewhere (for copies of one text: the text
 only what is not yet connected is compared in pairs, so large groups of near copies do
 not meet in all pairs; links that change no component are not looked for.
 
-Defined results: a null or empty text has no n-grams and is linked with nothing; fewer
-than n words are one n-gram. Null ids take part, but name no component unless all ids of
+Defined results: words are compared with A-Z in lower case, other letters as they are; a null
+or empty text has no n-grams and is linked with nothing; fewer than n words are one n-gram. Null ids take part, but name no component unless all ids of
 it are null. Repeated rows are one node. Extra columns are ignored or, in
 `keep_one_per_group`, pass through. A table without rows gives none.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -45,8 +46,8 @@ HEAD = 32  # earlier n-grams that an entry carries when lists are compared in pa
 
 
 def _ngram_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
-    """Sorted distinct n-grams of each text, as signed numbers."""
-    numbers, offsets = word_numbers(texts)
+    """Sorted distinct n-grams of each text in lower case (A-Z only), as signed numbers."""
+    numbers, offsets = word_numbers(pc.ascii_lower(texts))
     grams = as_long(window_numbers(numbers, words))
     sets = []
     for a, b in zip(offsets, offsets[1:]):
