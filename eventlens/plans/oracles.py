@@ -401,6 +401,10 @@ SELECT count(*) AS events, count(*) FILTER (event_type = 'purchase') AS orders,
        CAST(coalesce(sum(amount) FILTER (event_type = 'purchase'), 0) AS DOUBLE) AS revenue,
        CAST(coalesce(sum(amount) FILTER (event_type = 'refund'), 0) AS DOUBLE) AS refunded
 FROM commerce"""),
+        "stream_late_resends": _accepted(f"""
+SELECT 'total' AS kind, total_events AS events, total_orders AS orders, refunds, total_revenue AS revenue,
+       refund_amount AS refunded FROM kpis
+UNION ALL SELECT 'duplicates', {_REJECTED}, 0, 0, 0, 0""", _KPIS),
         "stream_publish": _snapshot(_REJECTED),
         "metric_history": _accepted("""
 SELECT CAST(slice - 1 AS BIGINT) AS sample_no, current_eps, avg_eps_5s, p50 AS p50_latency_ms, p99 AS p99_latency_ms

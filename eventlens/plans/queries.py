@@ -347,10 +347,13 @@ _LANDED = [*FLAT_COLUMNS, "copy"]
 
 class _Landing:
     """A landing folder filled from ``sf_dir``: originals in time order and then the early
-    resends, or, with ``in_time``, all deliveries in the order of their arrival."""
+    resends (with ``late_copies`` all resends), or, with ``in_time``, all deliveries in the
+    order of their arrival."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, slices: int = SLICES, in_time: bool = False):
-        deliveries = materialize(fixture.resent(spark, sf_dir, late_copies=in_time), "deliveries")
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, slices: int = SLICES, in_time: bool = False, late_copies: bool = False,
+    ):
+        deliveries = materialize(fixture.resent(spark, sf_dir, late_copies=in_time or late_copies), "deliveries")
         self.spark, self.schema = spark, deliveries.schema
         self.work = fresh_dir(spark, "stream")
         self.path = f"{self.work}/landing"
@@ -447,6 +450,13 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "events", "orders", "refunds", "revenue", "refunded")
 
 
+def stream_late_resends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a stream whose resends come first and whose originals follow, newest first."""
+    landing = _Landing(spark, sf_dir, 3, late_copies=True)
+    return _state_rows(_maintained(landing, (3, 2, 1, 0)).read()).where("kind in ('total', 'duplicates')").select(
+        "kind", "events", "orders", "refunds", "revenue", "refunded")
+
+
 def _publish(spark: SparkSession, sf_dir: str, slices: int, **options) -> str:
     """Run the publishing stream over all slices; returns the published folder."""
     landing = _Landing(spark, sf_dir, slices, in_time=True)
@@ -494,7 +504,8 @@ def queries() -> dict[str, Query]:
         route_by_key, route_round_robin, assign_offsets, log_append, log_scan, replay, retain_newest_half,
         shard_rollup, health_bands, state_log_scan, dedup_window, dedup_report, metrics_snapshot,
         incremental_merge, snapshot_roundtrip, compact_partials, stream_bounded_read, stream_sink,
-        stream_restart_dedup, stream_dedup_exact, stream_window, stream_maintain, stream_late_rows, stream_publish,
+        stream_restart_dedup, stream_dedup_exact, stream_window, stream_maintain, stream_late_rows, stream_late_resends,
+        stream_publish,
         dedup_first, active_users_approx,
         metric_history, stream_progress,
     ]

@@ -3,7 +3,7 @@
 `dedup_stream` lets Spark's state store forget an id some time after the window;
 this operator applies the rolling rule to the letter and counts what it rejects.
 Each micro-batch runs the batch operator, so a busy id is spread over tasks; what
-carries over is the last accepted time of the ids still inside the window.
+carries over are all accepted times of all ids, of which a batch reads its own time range.
 """
 
 from __future__ import annotations
@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventlens.operators.dedup import BUSY_ROWS, WINDOW_SECONDS, dedup_window, join_ids
 from eventlens.session import delete_folder, materialize, read_or_none, stages
 
-KEPT_STATES = 10  # a retry needs only the state before it
+KEPT_BATCHES = 10  # accepted rows that `accept` leaves for a retry
+SPAN_SECONDS = 3600  # accepted times are written in folders of this length
 
 
 class RollingDedup:
     """foreachBatch handler writing ``accepted/``, ``seen/`` and ``report/`` below ``path``.
 
-    All three are keyed by batch id and overwritten on retry. A batch sees the
-    state of the batch before it. A first delivery is accepted however late it comes;
-    a repeat is rejected if it lies within the window of the last accepted delivery of
-    its id, before or after it. Ids are remembered for the window behind the newest
-    delivery of a batch.
+    All three are keyed by batch id and overwritten on retry. A batch sees what the
+    batches before it accepted. A first delivery is accepted however late it comes; a
+    repeat is rejected if it lies within the window of any accepted delivery of its id,
+    before or after it, however late. ``seen/`` has an id and a time for each accepted
+    delivery and is never pruned: there is no bound on lateness.
     """
 
     def __init__(
@@ -37,14 +38,12 @@ class RollingDedup:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with stages(self.spark):
             self._handle(materialize(batch, "batch"), batch_id)
-        delete_folder(self.spark, f"{self.path}/seen/batch_id={batch_id - KEPT_STATES}")
 
     def accept(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
         """(accepted rows, one row with ``duplicates_rejected``) of a written micro-batch, for
         a handler that goes on with them; earlier batches' accepted rows are not kept."""
         self._handle(batch, batch_id)
-        for kind in ("accepted", "seen"):
-            delete_folder(self.spark, f"{self.path}/{kind}/batch_id={batch_id - KEPT_STATES}")
+        delete_folder(self.spark, f"{self.path}/accepted/batch_id={batch_id - KEPT_BATCHES}")
         report = self.spark.read.parquet(f"{self.path}/report/batch_id={batch_id}")
         return (
             self.spark.read.schema(batch.schema).parquet(f"{self.path}/accepted/batch_id={batch_id}"),
@@ -54,49 +53,53 @@ class RollingDedup:
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
         width = int(self.window_seconds * 1_000_000)
         us = F.unix_micros(self.time_col)
-        seen = self._seen_before(batch_id)
+        seen = self._seen_before(batch, batch_id, width)
         fresh = batch
         if seen is not None:
+            slots = batch.withColumn("_slot", F.struct(F.col(self.id_col).alias("id"), F.floor(us / max(width, 1)).alias("n")))
+            near = F.exists("_seen_us", lambda t: F.abs(us - t) < width)
             fresh = (
-                join_ids(batch, self.id_col, seen, seen.count(), "left", self._busy(batch))
-                .where(F.col("_seen_us").isNull() | (F.abs(us - F.col("_seen_us")) >= width))
+                join_ids(slots, "_slot", seen, seen.count(), "left", self._busy(slots))
+                .where(~F.coalesce(near, F.lit(False)))
                 .select(*batch.columns)
             )
         accepted = materialize(
             dedup_window(fresh, self.id_col, self.time_col, self.window_seconds, self.tie_cols), "accepted"
         )
         accepted.write.mode("overwrite").parquet(f"{self.path}/accepted/batch_id={batch_id}")
-        self._write_seen(batch, accepted, seen, width, batch_id)
+        accepted.select(
+            F.col(self.id_col).alias("_cid"), us.alias("_seen_us"), F.floor(us / (SPAN_SECONDS * 1_000_000)).alias("span"),
+        ).write.mode("overwrite").partitionBy("span").parquet(f"{self.path}/seen/batch_id={batch_id}")
         batch.agg(F.count("*").alias("delivered")).withColumn(
             "accepted", accepted.agg(F.count("*")).scalar()
         ).write.mode("overwrite").parquet(f"{self.path}/report/batch_id={batch_id}")
 
-    def _busy(self, batch: DataFrame) -> tuple[DataFrame, int]:
-        """Ids that make up a large part of a batch; a batch below that size has none."""
-        if batch.count() <= BUSY_ROWS:
-            return batch.select(F.col(self.id_col).alias("_cid")), 0
-        counts = batch.groupBy(F.col(self.id_col).alias("_cid")).agg(F.count("*").alias("_n"))
+    def _busy(self, slots: DataFrame) -> tuple[DataFrame, int]:
+        """Slots that make up a large part of a batch; a batch below that size has none."""
+        if slots.count() <= BUSY_ROWS:
+            return slots.select(F.col("_slot").alias("_cid")), 0
+        counts = slots.groupBy(F.col("_slot").alias("_cid")).agg(F.count("*").alias("_n"))
         busy = materialize(counts.where(F.col("_n") > BUSY_ROWS).select("_cid"), "busy")
         return busy, busy.count()
 
-    def _seen_before(self, batch_id: int) -> DataFrame | None:
+    def _seen_before(self, batch: DataFrame, batch_id: int, width: int) -> DataFrame | None:
+        """The accepted times that rows of the batch can be near to, by slot: id and number of
+        the window-long stretch of time. An id has one accepted time in a stretch at most,
+        so a slot has those of itself and its two neighbours."""
         seen = read_or_none(self.spark, f"{self.path}/seen")
-        if seen is None:
+        us = F.unix_micros(self.time_col)
+        low, high = batch.agg(F.min(us), F.max(us)).first()
+        if seen is None or low is None:
             return None
-        earlier = seen.where(F.col("batch_id") < batch_id)
-        newest = earlier.agg(F.max("batch_id")).first()[0]
-        return None if newest is None else earlier.where(F.col("batch_id") == newest).drop("batch_id")
-
-    def _write_seen(self, batch, accepted, seen, width: int, batch_id: int) -> None:
-        last = accepted.groupBy(F.col(self.id_col).alias("_cid")).agg(
-            F.max(F.unix_micros(self.time_col)).alias("_seen_us")
-        )
-        if seen is not None:
-            last = last.unionByName(seen).groupBy("_cid").agg(F.max("_seen_us").alias("_seen_us"))
-        now = batch.agg(F.max(F.unix_micros(self.time_col))).first()[0]
-        if now is not None:
-            last = last.where(F.col("_seen_us") > now - width)
-        last.write.mode("overwrite").parquet(f"{self.path}/seen/batch_id={batch_id}")
+        low, high, span = low - width, high + width, SPAN_SECONDS * 1_000_000
+        reached = seen.where(
+            (F.col("batch_id") < batch_id) & F.col("span").between(low // span, high // span)
+            & F.col("_seen_us").between(low, high))
+        stretch = F.floor(F.col("_seen_us") / max(width, 1))
+        return materialize(
+            reached.withColumn("n", F.explode(F.array(stretch - 1, stretch, stretch + 1)))
+            .groupBy(F.struct(F.col("_cid").alias("id"), "n").alias("_cid"))
+            .agg(F.collect_list("_seen_us").alias("_seen_us")), "seen")
 
     def accepted(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/accepted").drop("batch_id")

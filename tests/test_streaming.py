@@ -93,6 +93,18 @@ def test_exact_dedup_equals_batch(spark, events, feed):
     assert tuple(handler.report().first()) == (180, len(want), 180 - len(want))
 
 
+def test_exact_dedup_of_an_original_after_its_resend(spark, events, feed):
+    """The resend's batch has rows far newer than it; the original 10 s before it comes late."""
+    handler = RollingDedup(spark, f"{feed.work}/exact")
+    handler(events(purchase(0, 10, copy=1), purchase(1, 45, copy=2), purchase(2, 50_000)), 0)
+    handler(events(purchase(3, 90_000)), 1)
+    handler(events(purchase(0, 0), purchase(1, 0), purchase(4, 5)), 2)
+    handler(events(purchase(1, 20), purchase(2, 50_029), purchase(3, 89_970)), 3)
+    assert rows(handler.accepted(), "event_id", "copy") == [
+        ("e_0", 1), ("e_1", 0), ("e_1", 2), ("e_2", 0), ("e_3", 0), ("e_3", 0), ("e_4", 0)]
+    assert tuple(handler.report().first()) == (10, 7, 3)
+
+
 def test_exact_dedup_retry_of_a_batch(spark, events, feed):
     handler = RollingDedup(spark, f"{feed.work}/exact")
     first, second = events(purchase(0, 0)), events(purchase(0, 10), purchase(1, 11))
