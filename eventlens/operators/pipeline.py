@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from eventlens.schema import PAYLOAD, RAW_PAYLOAD
+
 VALUE = "value"
 _HELD_WINDOWS = 50_000  # window states a task holds before it passes them on
 
@@ -26,16 +28,25 @@ _BUILT_IN = {
 }
 
 
+_KINDS = {bool: T.BooleanType(), int: T.LongType(), float: T.DoubleType()}
+
+
 class PayloadColumns:
-    """``e.data``: payload fields with a default, as in a dict."""
+    """``e.data``: payload fields with a default, as in a dict. A key without a column is read
+    from the raw payload, if the frame has it: as a string, or in the type of its default."""
 
-    def __init__(self, fields: list[str], nested: bool):
-        self._fields, self._nested = fields, nested
+    def __init__(self, fields: list[str], nested: bool, raw: bool = False):
+        self._fields, self._nested, self._raw = fields, nested, raw
 
     def get(self, key: str, default=None) -> Column:
-        if key not in self._fields:
+        if key in self._fields:
+            found = F.col(f"data.{key}" if self._nested else key)
+        elif self._raw:
+            kind = PAYLOAD[key].dataType if key in PAYLOAD.names else _KINDS.get(type(default), T.StringType())
+            text = F.from_json(RAW_PAYLOAD, T.StructType([T.StructField(key, T.StringType())])).getField(key)
+            found = text.try_cast(kind)
+        else:
             return F.lit(default)
-        found = F.col(f"data.{key}" if self._nested else key)
         return found if default is None else F.coalesce(found, F.lit(default))
 
     def __getitem__(self, key: str) -> Column:
@@ -50,7 +61,8 @@ class EventColumns:
 
     def __init__(self, df: DataFrame):
         nested = "data" in df.columns
-        self.data = PayloadColumns(df.schema["data"].dataType.names if nested else df.columns, nested)
+        self.data = PayloadColumns(
+            df.schema["data"].dataType.names if nested else df.columns, nested, RAW_PAYLOAD in df.columns)
         # Flat rows call the event time `ts`.
         self._renamed = {} if "timestamp" in df.columns else {"timestamp": "ts"}
 

@@ -27,6 +27,9 @@ PAYLOAD = T.StructType([
     T.StructField("device", T.StringType()),
 ])
 
+# The payload as it came, beside the typed one: it has the keys that are not listed here, too.
+RAW_PAYLOAD = "data_json"
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("event_type", T.StringType()),

@@ -79,9 +79,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
+def read_or_none(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options,
+) -> DataFrame | None:
     """The parquet table at ``path``, or None if nothing was written there yet."""
-    reader = spark.read.schema(schema) if schema else spark.read
+    reader = (spark.read.schema(schema) if schema else spark.read).options(**options)
     try:
         return reader.parquet(path)
     except AnalysisException as error:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from eventlens.functions import hash_partition, is_present, round_robin_partition, routing_key
 from eventlens.operators.numbering import dense_number
-from eventlens.schema import EVENT_SCHEMA, LOG_REQUIRED, LOG_SCHEMA, STATE_LOG_OP, STATE_LOG_SCHEMA
+from eventlens.schema import EVENT_SCHEMA, LOG_REQUIRED, LOG_SCHEMA, RAW_PAYLOAD, STATE_LOG_OP, STATE_LOG_SCHEMA
 from eventlens.session import read_or_none
 
 # Default replay length and log size cap.
@@ -70,15 +70,17 @@ def scan_json_lines(
     """(rows, rejected lines) of a JSON-lines log.
 
     A line is a row when every required field could be read; broken JSON and
-    missing fields leave nulls and are rejected. Blank lines are neither.
+    missing fields leave nulls and are rejected. Blank lines are neither. Rows of a schema
+    with a payload also have it as it stands in the line, in the column `RAW_PAYLOAD`.
     """
     lines = spark.read.text(path).where(F.trim("value") != "")
     keys = [c for c in lines.columns if c != "value"]  # partition folders
     parsed = lines.withColumn("row", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
     complete = reduce(Column.__and__, [F.col(f"row.{name}").isNotNull() for name in required])
     complete = F.coalesce(complete, F.lit(False))
+    raw = [F.from_json("value", "data string")["data"].alias(RAW_PAYLOAD)] if "data" in schema.names else []
     return (
-        parsed.where(complete).select(*keys, "row.*"),
+        parsed.where(complete).select(*keys, "row.*", *raw),
         parsed.where(~complete).select(*keys, F.col("value").alias("line")),
     )
 
@@ -119,13 +121,19 @@ def flatten(events: DataFrame, ingest_time: Column | None = None) -> DataFrame:
 
 
 def log_lines(log: DataFrame) -> Column:
-    """One log line per row: offset and envelope as JSON, times as epoch seconds."""
+    """One log line per row: offset and envelope as JSON, times as epoch seconds. A payload
+    that was read from a line is written as it was there, with all its keys."""
     fields = [f.name for f in LOG_SCHEMA]
     values = [
         (F.unix_micros("timestamp") / 1_000_000).alias("timestamp") if f == "timestamp" else F.col(f)
         for f in fields if f in log.columns
     ]
-    return F.to_json(F.struct(*values))
+    line = F.to_json(F.struct(*values))
+    if RAW_PAYLOAD not in log.columns:
+        return line
+    rest = F.to_json(F.struct(*[v for f, v in zip([f for f in fields if f in log.columns], values) if f != "data"]))
+    whole = F.concat(rest.substr(F.lit(1), F.length(rest) - 1), F.lit(',"data":'), F.col(RAW_PAYLOAD), F.lit("}"))
+    return F.coalesce(whole, line)
 
 
 def scan_state_log(spark: SparkSession, path: str) -> DataFrame:
@@ -190,8 +198,9 @@ def append_json_log(log: DataFrame, path: str) -> None:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame | None:
-    """A parquet log folder, None when nothing was appended yet."""
-    return read_or_none(spark, path)
+    """A parquet log folder, None when nothing was appended yet. Appends may differ in
+    whether they have raw payloads."""
+    return read_or_none(spark, path, mergeSchema=True)
 
 
 # --- replay, retention, statistics ---------------------------------------------

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import at, plan, rows
 from eventlens.operators.numbering import dense_number
+from eventlens.operators.pipeline import EventColumns
 from eventlens.session import fresh_dir
 from eventlens.sources import event_log as log
 from eventlens.sources.fixture import to_envelope
@@ -149,3 +150,26 @@ def test_metrics_from_a_replayed_log(spark, events):
     want = metrics.kpi_totals(dedup.dedup_window(flat)).first()
     assert want.total_orders == 5
     assert metrics.kpi_totals(dedup.dedup_window(replayed)).first() == want
+
+
+def test_payload_keys_outside_the_schema_stay(spark, envelope):
+    """Through scan, parquet append, rotation and JSON append; `get` reads them."""
+    own = {"amount": 5.5, "coupon": "x \u00e9 \"q\"", "score": 7, "deep": {"a": [1, {"b": None}]}, "items": "many"}
+    lines = [json.dumps({"offset": i, "event_id": f"e_{i}", "event_type": "purchase", "timestamp": 1.0 + i, "user_id": "u",
+                         "session_id": "s", "data": d, "partition_key": "u"}) for i, d in enumerate([own, {"amount": 1.0}])]
+    first, table, rotated, second = (fresh_dir(spark, "t-raw") for _ in range(4))
+    spark.createDataFrame([(0, line) for line in lines], "partition_id int, value string").write.partitionBy(
+        "partition_id").text(first)
+    scanned = log.scan_log(spark, first).drop("partition_id", "offset")
+    log.append_log(spark, envelope(3), table, N, arrival=["event_id"])
+    log.append_log(spark, scanned, table, N, arrival=["event_id"])
+    log.rotate_log(spark, table, rotated)
+    log.append_json_log(log.read_log(spark, rotated), second)
+    written = {e["event_id"]: e["data"] for e in map(json.loads, (r.value for r in spark.read.text(second).collect()))}
+    assert written.pop("e_0") == own and written.pop("e_1") == {"amount": 1.0}
+    assert list(written.values()) == [{"page": "/p"}] * 3
+    again = log.scan_log(spark, second).where("event_id in ('e_0', 'e_1')")
+    for frame in (again, log.flatten(again)):
+        data = EventColumns(frame).data
+        got = rows(frame, data.get("coupon"), data.get("score", 0), data.get("amount", 0.0), data.has("deep"))
+        assert got == sorted([(own["coupon"], 7, 5.5, True), (None, 0, 1.0, False)], key=repr)
