@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from eventlens.operators.dedup import WINDOW_SECONDS
 
+REPORT_WAIT_S = 60  # for the reports of a query that has ended
+
 
 def land(batches: list[DataFrame], path: str) -> None:
     """Append each frame to the landing folder, in order, as parquet files."""
@@ -68,14 +74,26 @@ def windowed_stream(
     ).drop("w")
 
 
-def run_to_file(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write everything available to a parquet folder, exactly once, and stop."""
-    query = (
+def run_to_file(stream: DataFrame, path: str, checkpoint: str, report: str | None = None) -> StreamingQuery:
+    """Write everything available to a parquet folder, exactly once, and stop. With
+    ``report``, every micro-batch leaves its row for `reported` in that folder."""
+    writer = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(availableNow=True)
     )
-    query.awaitTermination()
+    if report is None:
+        query = writer.start()
+        query.awaitTermination()
+        return query
+    reports = _Reports(stream.sparkSession, report)
+    stream.sparkSession.streams.addListener(reports)
+    try:
+        query = writer.queryName(reports.name).start()
+        query.awaitTermination()
+        reports.finish()
+    finally:
+        stream.sparkSession.streams.removeListener(reports)
     return query
 
 
@@ -100,22 +118,67 @@ def run_batches(
     return query
 
 
+_REPORT = ("batch_id long, input_rows long, input_rows_per_s double, processed_rows_per_s double, "
+           "dropped long, late long")
+
+
+def _report_row(p) -> tuple:
+    repeated = sum(op["customMetrics"].get("numDroppedDuplicateRows", 0) for op in p["stateOperators"])
+    late = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+    return (p["batchId"], p["numInputRows"], p.get("inputRowsPerSecond"), p.get("processedRowsPerSecond"),
+            repeated, late)
+
+
+class _Reports(StreamingQueryListener):
+    """Writes the report of each micro-batch of the query ``name`` to a file of its batch id."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
+        self.name, self._run, self._failure, self._done = f"reports-{uuid.uuid4().hex}", None, None, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self._run = str(event.runId)
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress["runId"]) != self._run:
+            return
+        try:
+            row = _report_row(event.progress)
+            names = T.StructType.fromDDL(_REPORT).names
+            file = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._path}/batch-{row[0]}.json")
+            out = file.getFileSystem(self._spark._jsc.hadoopConfiguration()).create(file, True)
+            out.write(bytearray(json.dumps(dict(zip(names, row))).encode()))
+            out.close()
+        except Exception as error:  # the listener bus would only log it
+            self._failure = error
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self._run:
+            self._done.set()
+
+    def finish(self) -> None:
+        """Wait for the last report; raise if one could not be written."""
+        if not self._done.wait(REPORT_WAIT_S):
+            raise TimeoutError(f"reports of {self.name} are not complete")
+        if self._failure:
+            raise self._failure
+
+
+def reported(spark: SparkSession, path: str) -> DataFrame:
+    """One row per micro-batch of all runs that reported to this folder, as `progress` has them.
+
+    A batch whose process died between its end and its report has no row; batch ids are
+    dense, so it shows as a gap.
+    """
+    return spark.read.schema(_REPORT).json(path)
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per reported micro-batch: volumes, rates, and rows dropped as repeated or late.
+    """One row per recent micro-batch: volumes, rates, rows ``dropped`` as repeated, and rows
+    lost because they came ``late``, behind the watermark.
 
     Input far above the processed rate means the query falls behind its source.
-    Spark keeps the last 100 reports of a query.
+    Spark keeps the last 100 reports of a query; `reported` has all.
     """
-    rows = []
-    for p in query.recentProgress:
-        dropped = sum(
-            op["customMetrics"].get("numDroppedDuplicateRows", 0) + op["numRowsDroppedByWatermark"]
-            for op in p["stateOperators"]
-        )
-        rows.append((p["batchId"], p["numInputRows"], p.get("inputRowsPerSecond"),
-                     p.get("processedRowsPerSecond"), dropped))
-    return spark.createDataFrame(
-        rows,
-        "batch_id long, input_rows long, input_rows_per_s double, processed_rows_per_s double, "
-        "dropped long",
-    )
+    return spark.createDataFrame([_report_row(p) for p in query.recentProgress], _REPORT)

@@ -55,6 +55,24 @@ def test_repeat_in_the_window_is_dropped_across_a_restart(spark, events, feed):
     assert streams.progress(spark, query).agg(F.sum("dropped")).first()[0] == 1
 
 
+def test_every_batch_is_reported_and_late_rows_apart(spark, events, feed):
+    """Over more micro-batches than Spark keeps reports of, with a restart."""
+    cap = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(cap, "2")
+    try:
+        for part in ([0, 0, 1, 2, 3], [200], [4]):  # the last comes behind the watermark
+            feed.land(*[events(purchase(i, i)).coalesce(1) for i in part])
+            query = streams.run_to_file(
+                streams.dedup_stream(feed.stream(max_files=1)), f"{feed.work}/out", f"{feed.work}/ckpt", f"{feed.work}/report")
+            assert len(query.recentProgress) <= 2
+    finally:
+        spark.conf.unset(cap)
+    report = streams.reported(spark, f"{feed.work}/report")
+    assert rows(report.agg(F.sum("input_rows"), F.sum("dropped"), F.sum("late"))) == [(7, 1, 1)]
+    ids = [r.batch_id for r in report.orderBy("batch_id").collect()]
+    assert ids == list(range(len(ids))) and len(ids) >= 7
+
+
 def test_pipeline_sink_on_a_stream(events, feed):
     feed.land(events(purchase(0, 0), {"event_type": "page_view"}))
     Pipeline().filter(lambda e: e.event_type == "purchase").sink(feed.run).process_batch(feed.stream())
