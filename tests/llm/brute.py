@@ -25,7 +25,7 @@ def license_base(text, phrases):
 
 
 def shingles(text, n=5):
-    words = WORD.findall(text or "")
+    words = WORD.findall((text or "").translate(LOWER))
     if len(words) < n:
         return {tuple(words)} if words else set()
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
