@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from eventlens.session import materialize
+from eventlens.session import broadcast_if_small, materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the task number above this bit
 
@@ -18,7 +18,8 @@ def dense_number(
     Rows are range-partitioned on (group, order), so a group or a moment holding
     most of the rows is still cut into many tasks. Each row carries its task
     (chunk) and its place there; the start number of every (group, chunk) is a
-    prefix sum over at most ``tasks + groups`` rows, which is what is broadcast.
+    prefix sum over at most ``tasks + groups`` rows, broadcast if they are few when counted.
+    A null group is a group.
     The tagged rows are written before they are counted: counts and rows must
     come from one and the same range split. ``order_cols`` should be unique in a group.
     """
@@ -38,11 +39,19 @@ def dense_number(
     )
     before = W.partitionBy(*group_cols).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(
-        *group_cols, "_chunk",
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], F.col("_chunk").alias("_c"),
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
+    if group_cols:
+        starts = materialize(starts, "starts")
+        starts, _ = broadcast_if_small(starts, starts.count())
+    else:
+        starts = F.broadcast(starts)  # one row a task
+    same = F.col("_chunk") == F.col("_c")
+    for i, c in enumerate(group_cols):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
     return (
-        tagged.join(F.broadcast(starts), [*group_cols, "_chunk"])
+        tagged.join(starts, same)
         .withColumn(name, F.col("_place") + F.col("_shift"))
         .select(*df.columns, name)
     )
