@@ -7,7 +7,9 @@ tables, `op8` for its checksum), `tests/llm` holds the query against brute force
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlens.llm import bpe, hamming, licenses, mixing, ngram_join, quality, sharding, substring, suffix, warc
+from eventlens.llm import (
+    bpe, decontamination, hamming, licenses, merkle, mixing, ngram_join, prefix_trie, quality, sharding, statements,
+    substring, suffix, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,10 +78,25 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_license_scan, op2_ngram_join, op3_warc_revisits, op4_substring_dedup, op5_quality_rules, op6_source_mixing, op7_hamming_top_k, op8_rendezvous_sharding,
-        op9_suffix_dedup, op10_bpe_codec)}
+        op9_suffix_dedup, op10_bpe_codec, op11_benchmark_decontamination, op12_prefix_trie, op13_merkle_manifest)}
 
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -228,4 +245,6 @@ FROM firsts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_revisits": _OP3, "op7_hamming_top_k": _OP7, "op5_quality_rules": _OP5, "op6_source_mixing": _OP6, "op8_rendezvous_sharding": _OP8}
+    return {"op3_warc_revisits": _OP3, "op7_hamming_top_k": _OP7, "op5_quality_rules": _OP5, "op6_source_mixing": _OP6, "op8_rendezvous_sharding": _OP8,
+            "op11_benchmark_decontamination": statements.OP11, "op12_prefix_trie": statements.OP12,
+            "op13_merkle_manifest": statements.OP13}

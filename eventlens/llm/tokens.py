@@ -15,11 +15,11 @@ SLICE_BYTES = 8_000_000  # text handled at once in a task
 _MASK = (1 << 64) - 1
 
 
-def slices(batches, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in runs of about `SLICE_BYTES` of text, whole rows each."""
+def slices(batches, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in runs of about ``size`` bytes of text, whole rows each."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
-        runs = np.cumsum(sizes) // SLICE_BYTES
+        runs = np.cumsum(sizes) // size
         cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
