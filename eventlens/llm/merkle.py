@@ -18,6 +18,8 @@ null source is a source of its own, first. Extra columns are ignored. A table wi
 rows gives none.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventlens.operators.numbering import dense_number
@@ -125,13 +127,15 @@ def climb(nodes: DataFrame, tree: list[str], carry: list[str] = ()) -> tuple[Dat
     right at each level up to it; ``roots`` has (tree, root).
     """
     carry = list(carry)
-    totals = nodes.groupBy(*[F.col(c).alias(f"_{c}") for c in tree]).agg((F.max("place") + 1).alias("total"))
-    totals = materialize(totals, "trees")
-    small, _ = broadcast_if_small(totals, totals.count())
-    same = F.lit(True)
-    for c in tree:
-        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
-    level, steps = nodes.join(small, same).drop(*[f"_{c}" for c in tree]), []
+    if tree:
+        totals = nodes.groupBy(*[F.col(c).alias(f"_{c}") for c in tree]).agg((F.max("place") + 1).alias("total"))
+        totals = materialize(totals, "trees")
+        totals, _ = broadcast_if_small(totals, totals.count())
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in tree])
+        level = nodes.join(totals, same).drop(*[f"_{c}" for c in tree])
+    else:
+        level = nodes.withColumn("total", F.lit(nodes.count()))
+    steps = []
     while True:
         blocks = materialize(_blocks(level, tree, [] if steps else carry), "blocks")
         steps.append(blocks)
