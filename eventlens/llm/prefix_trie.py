@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventlens.session import broadcast_if_small, materialize
 
 TURN = 24  # bytes of a turn record: 16 of a digest, 8 for the text's length
-CONTAINER = 1_000
+CONTAINER = 256
 PIECE_IDS = 4_096
 BASE_EVERY, HEAD_MODULUS = 5, 9
 _ROWS = 10_000  # nodes a batch
