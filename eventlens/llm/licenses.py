@@ -76,6 +76,15 @@ def pieces(phrase: str, edits: int) -> list[tuple[int, bytes]]:
     return [(a, phrase[a:b].encode()) for a, b in zip(cuts, cuts[1:])]
 
 
+def _words_before(form: bytes, places: list[int]) -> dict[int, int]:
+    """How many words begin before each place, counted once along the text."""
+    at, words, found = 0, 0, {}
+    for place in sorted({*places}):
+        words += form.count(b" ", at, place)
+        at, found[place] = place, words
+    return found
+
+
 class Scanner:
     """Exact and fuzzy search of one text in word form; built once per task."""
 
@@ -100,11 +109,11 @@ class Scanner:
                 for offset, piece in seeds for at in _finds(form, piece))
             done = 0
             for low, high in around:
-                low = max(low, done)
-                if high - low < length - slack:
+                if high - max(low, done) < length - slack:
                     continue
-                # one byte more on either side lets the pattern see the word border
-                match = pattern.search(form, max(0, low), min(len(form), high + 1))
+                # One byte more on either side: the pattern sees the word border at the end, and
+                # its first edit may be an insertion, which the library takes only behind the start.
+                match = pattern.search(form, max(done, low - 1), min(len(form), high + 1))
                 if match and [chr(c) for c in match[0] if 48 <= c <= 57] == digits:
                     found.append((match.start(), match.end(), notice, sum(match.fuzzy_counts)))
                     done = match.end()
@@ -123,11 +132,12 @@ def scan_licenses(docs: DataFrame, base=BASE, notices=NOTICES) -> DataFrame:
             for text in batch["text"]:
                 form = word_form(text.as_py())
                 exact, fuzzy = scanner.exact(form), scanner.fuzzy(form)
-                starts = [form.count(b" ", 0, at) for at, _ in exact]
+                before = _words_before(form, [at for at, _ in exact] + [x for a, b, *_ in fuzzy for x in (a, b)])
+                starts = [before[at] for at, _ in exact]
                 labels = {label for _, label in exact}
                 score = 1.0 if exact else max((1 - e / len(n.phrase) for _, _, n, e in fuzzy), default=0.0)
                 matches = [
-                    (n.label, n.phrase, form.count(b" ", 0, a) - 1, form.count(b" ", 0, b) - 1, e)
+                    (n.label, n.phrase, before[a] - 1, before[b] - 1, e)
                     for a, b, n, e in sorted(fuzzy, key=lambda m: m[:2])]
                 rows.append((
                     max(0, form.count(b" ") - 1), len(exact), min(starts, default=None), max(starts, default=None),
