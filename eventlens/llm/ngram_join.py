@@ -42,6 +42,7 @@ PERCENT = 80
 EXTRA = 20  # a set of n has n / EXTRA n-grams more than its prefix in the first count
 CELLS = 16  # parts of the number range in the suffix filter
 STAR_ROUNDS = 2
+SLICE_BYTES = 1_000_000  # text handled at once in a task
 HEAD = 32  # earlier n-grams that an entry carries when lists are compared in pairs
 
 
@@ -76,7 +77,7 @@ def _summaries(rows: DataFrame, words: int) -> DataFrame:
     """Per row: size and number of its set, and the first n-grams of it in number order."""
 
     def summarize(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE_BYTES):
             sets = _ngram_sets(batch["text"], words)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             probes = [s[:len(s) - _required(len(s)) + _ahead(len(s))] if len(s) else None for s in sets]
@@ -93,7 +94,7 @@ def _full_sets(chosen: DataFrame, words: int) -> DataFrame:
     """(node, n, grams, cells): whole sets, and how many n-grams lie in each cell."""
 
     def build(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE_BYTES):
             sets = _ngram_sets(batch["text"], words)
             cells = [np.bincount((s >> 60) + 8, minlength=CELLS) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -237,23 +238,32 @@ def linked_sets(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFra
     return summary.drop("probes").join(nodes, "digest").select("doc_id", *ROW, "n", "node"), roots
 
 
-def component_ids(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row, and its ``key`` and ``rid``."""
+def _groups(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, key, rid and set size ``n`` of each row, with the least id of its component, and
+    ``first``, the component's least (key, rid)."""
     summary, roots = linked_sets(docs, words)
-    named = summary.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").withColumn(
+    least = [F.min("doc_id").alias("component_id"), F.min(F.struct(*ROW)).alias("first")]
+    named = summary.groupBy("node").agg(*least).join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
-    groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    group_of = named.select("node", "root").join(groups, "root").select("node", "component_id")
+    groups = named.groupBy("root").agg(F.min("component_id").alias("component_id"), F.min("first").alias("first"))
+    return summary.join(named.select("node", "root").join(groups, "root").drop("root"), "node")
+
+
+def component_ids(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row, and its ``key`` and ``rid``."""
     empty = F.col("n") == 0
-    return summary.join(group_of, "node").select(
+    return _groups(docs, words).select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *ROW)
 
 
 def keep_one_per_group(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component; of repeated rows one."""
-    groups = component_ids(docs, words)
-    dropped = groups.filter(F.col("doc_id") != F.col("component_id")).select(ROW).distinct()
+    """The rows of ``docs`` without those that another row of their component precedes.
+
+    The row of least id stays, a null id comes last, and a number of the text decides
+    between equal ids. Rows without n-grams have no component and stay; of repeated rows one does.
+    """
+    dropped = _groups(docs, words).where((F.col("n") > 0) & (F.struct(*ROW) != F.col("first"))).select(ROW).distinct()
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     rows = identified(docs.select("doc_id", "text", whole)).drop("doc_id", "text")
     return rows.join(dropped, ROW, "left_anti").dropDuplicates(ROW).select("row.*")

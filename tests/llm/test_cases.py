@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import random
+
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
@@ -58,6 +60,33 @@ def test_edits_up_to_the_bound_are_found():
     assert scanner.fuzzy(licenses.word_form("under no such thing")) == []
 
 
+def test_edited_notices_are_found_where_an_unseeded_search_finds_them():
+    """Random edits of every notice: the seeds lose no place, span or number of edits."""
+    rng, scanner = random.Random(3), licenses.Scanner()
+    for notice, _, pattern, digits in scanner.notices:
+        for _ in range(150):
+            text = list(notice.phrase)
+            for _ in range(rng.randrange(notice.edits + 1)):
+                at = rng.randrange(len(text))
+                text[at:at + rng.randrange(2)] = rng.choice(["", "g", "xq"[:rng.randrange(1, 3)]])
+            form = licenses.word_form(f"foo {''.join(text)} bar" if rng.randrange(2) else "".join(text))
+            whole = pattern.search(form)
+            if whole and [chr(c) for c in whole[0] if 48 <= c <= 57] != digits:
+                continue
+            own = [(a, b, e) for a, b, n, e in scanner.fuzzy(form) if n is notice]
+            assert own == ([(*whole.span(), sum(whole.fuzzy_counts))] if whole else []), form
+
+
+def test_license_places_in_a_long_text(spark):
+    text = "Under the MIT License. " + "filler words " * 60_000 + "CC-BY-NC all rights reserved " * 3_000
+    frame = spark.createDataFrame([(1, text, "m", 2), (1, text, "m", 2)], "doc_id long, text string, matches string, n_base int")
+    for r in licenses.scan_licenses(frame).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.license_base(text, licenses.BASE)
+        assert r.labels == "all-rights-reserved,cc-by-nc,mit" and r.score == 1.0
+        spans = [(m.first_word, m.last_word) for m in r.matches if m.label == "all-rights-reserved"]
+        assert spans == [(120_004 + 6 * i + 3, 120_004 + 6 * i + 5) for i in range(3_000)]
+
+
 def test_ngram_join(docs, nulls):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.component_ids(docs).collect()}
     assert got == {(i, *v) for i, v in brute.components(unique(DOCS)).items()}
@@ -69,6 +98,17 @@ def test_ngram_join(docs, nulls):
     assert {r.key for r in kept.collect()} == {"x"}
 
 
+def test_one_row_of_a_component_stays(spark):
+    """Null and equal ids: of near copies one row, whatever their ids; empty texts and repeats."""
+    near = [PASSAGE, f"{PASSAGE} a", f"b {PASSAGE}", f"{PASSAGE} c d", f"e {PASSAGE} f"]
+    rows = [*zip([1, 1, 2, None, None], near), (3, ""), (None, None), (None, None), (4, "alone here"), (4, "alone here")]
+    kept = ngram_join.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "4", "None"]
+    assert [r.text for r in kept if r.doc_id == 1][0] in near[:2]
+    rows = [(None, t) for t in near] + [(None, near[0])]
+    assert ngram_join.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
+
+
 def test_ngram_join_of_many_near_copies(spark):
     base = [f"b{i}" for i in range(300)]
     texts = {0: " ".join(base)}
