@@ -394,6 +394,12 @@ FROM (SELECT (SELECT count(*) FROM timed) AS d, (SELECT count(*) FROM kept) AS a
         "stream_restart_dedup": _accepted(_FIRST),
         "stream_dedup_exact": rolling,
         "stream_maintain": _accepted(_STATE + f"""
+UNION ALL SELECT 'duplicates', '', {_REJECTED}, 0, 0, 0, 0, TIMESTAMP '1970-01-01'"""),
+        "stream_dedup_bounded": _accepted("""
+SELECT arrival, event_id, copy, ingest_ts, a.event_id IS NULL AS is_duplicate
+FROM deliveries d LEFT JOIN accepted a USING (event_id, copy, ingest_ts)
+CROSS JOIN (VALUES ('in time'), ('newest first'), ('resends first')) AS o(arrival)"""),
+        "stream_maintain_bounded": _accepted(_STATE + f"""
 UNION ALL SELECT 'duplicates', '', {_REJECTED}, 0, 0, 0, 0, TIMESTAMP '1970-01-01'"""),
         "stream_late_rows": _with(_BASE, body="""
 SELECT count(*) AS events, count(*) FILTER (event_type = 'purchase') AS orders,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
@@ -13,7 +14,7 @@ from eventlens.schema import FLAT_COLUMNS
 from eventlens.session import fresh_dir, materialize
 from eventlens.sources import event_log as log, fixture
 from eventlens.sources.snapshots import StateTable
-from eventlens.streaming import events as streams, maintain
+from eventlens.streaming import events as streams, maintain, stateful_dedup
 from eventlens.streaming.exact_dedup import RollingDedup
 
 LOG_PARTITIONS, SHARDS = 8, 3
@@ -354,7 +355,7 @@ class _Landing:
         self, spark: SparkSession, sf_dir: str, slices: int = SLICES, in_time: bool = False, late_copies: bool = False,
     ):
         deliveries = materialize(fixture.resent(spark, sf_dir, late_copies=in_time or late_copies), "deliveries")
-        self.spark, self.schema = spark, deliveries.schema
+        self.spark, self.schema, self.deliveries = spark, deliveries.schema, deliveries
         self.work = fresh_dir(spark, "stream")
         self.path = f"{self.work}/landing"
         originals = deliveries.where("copy = 0")
@@ -415,6 +416,47 @@ def stream_dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(handler.accepted())
 
 
+HEARTBEAT = "heartbeat"
+
+
+def _in_order(landing: _Landing, first: list[int], rest: list[int], lateness: float, run: Callable[[DataFrame], None]) -> None:
+    """Run the stream in order of time over the batches in these two landings, with a restart
+    between them, and end it with a heartbeat that no delivery can follow."""
+    newest = landing.deliveries.agg(F.max("ingest_ts")).first()[0]
+    beat = landing.deliveries.limit(1).withColumns({
+        "event_type": F.lit(HEARTBEAT),
+        "ingest_ts": F.lit(newest) + F.make_interval(secs=F.lit(lateness + 2 * dedup.WINDOW_SECONDS))})
+    for numbers, frames in ((first, []), (rest, [beat])):
+        landing.land(*numbers)
+        streams.land(frames, landing.path)
+        with stateful_dedup.keyed_state(landing.spark):
+            run(stateful_dedup.dedup_in_order(
+                landing.stream(), lateness_seconds=lateness, heartbeat=F.col("event_type") == HEARTBEAT))
+
+
+def stream_dedup_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivery with the decision of the bounded stream, for three orders of arrival."""
+    result = []
+    for name, batches, late in (("in time", [0, 1], False), ("newest first", [1, 0], False), ("resends first", [2, 1, 0], True)):
+        landing = _Landing(spark, sf_dir, 2, in_time=not late, late_copies=late)
+        lo, hi = landing.deliveries.agg(F.min(F.unix_seconds("ingest_ts")), F.max(F.unix_seconds("ingest_ts"))).first()
+        lateness = stateful_dedup.LATENESS_SECONDS if name == "in time" else hi - lo + stateful_dedup.LATENESS_SECONDS
+        _in_order(landing, batches[:1], batches[1:], lateness,
+                  lambda out: streams.run_to_file(out, landing.dir("out"), landing.dir("ckpt")))
+        result.append(spark.read.parquet(landing.dir("out")).select(
+            F.lit(name).alias("arrival"), "event_id", "copy", "ingest_ts", stateful_dedup.FLAG))
+    return naive(reduce(DataFrame.unionByName, result))
+
+
+def stream_maintain_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State kept up to date behind the bounded dedup, with a restart."""
+    landing = _Landing(spark, sf_dir, 2, in_time=True)
+    table = StateTable(spark, landing.dir("state"))
+    _in_order(landing, [0], [1], stateful_dedup.LATENESS_SECONDS,
+              lambda out: streams.run_batches(out, maintain.fold_batches(table), landing.dir("ckpt")))
+    return _state_rows(table.read())
+
+
 def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily revenue of a deduplicated stream; a day is emitted once, when it closes."""
     landing = _Landing(spark, sf_dir, 2)
@@ -502,7 +544,7 @@ def queries() -> dict[str, Query]:
         route_by_key, route_round_robin, assign_offsets, log_append, log_scan, replay, retain_newest_half,
         shard_rollup, health_bands, state_log_scan, dedup_window, dedup_report, metrics_snapshot,
         incremental_merge, snapshot_roundtrip, compact_partials, stream_bounded_read, stream_sink,
-        stream_restart_dedup, stream_dedup_exact, stream_window, stream_maintain, stream_late_rows, stream_late_resends,
+        stream_restart_dedup, stream_dedup_exact, stream_dedup_bounded, stream_maintain_bounded, stream_window, stream_maintain, stream_late_rows, stream_late_resends,
         stream_publish,
         dedup_first, active_users_approx,
         metric_history, stream_progress,

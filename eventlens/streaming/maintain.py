@@ -2,7 +2,8 @@
 
 With a `RollingDedup` in front, the stream may hold repeats: each micro-batch adds its
 accepted rows and the count of those rejected, and no first delivery is lost, however late.
-Without one, the stream must be deduplicated already.
+Without one, the stream must be deduplicated already, or come from `dedup_in_order`: rows it
+flags are counted as rejected and go no further.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from eventlens.operators import state as st, timeseries as ts
 from eventlens.session import delete_folder, materialize, read_or_none, stages
 from eventlens.sources.snapshots import StateTable
 from eventlens.streaming.exact_dedup import RollingDedup
+from eventlens.streaming.stateful_dedup import FLAG
 
 HISTORY_LENGTH = 60  # fixed value: samples of the served history
 BATCHES_PER_BASE = 50
@@ -45,7 +47,11 @@ def _fold(
     rows = materialize(batch, "batch")
     if rows.isEmpty():
         return False
-    if dedup is None:
+    if FLAG in rows.columns:
+        state = st.with_duplicates(
+            st.build_state(rows.where(~F.col(FLAG)).drop(FLAG)),
+            rows.agg(F.count_if(FLAG).alias("duplicates_rejected")))
+    elif dedup is None:
         state = st.build_state(rows)
     else:
         accepted, rejected = dedup.accept(rows, batch_id)
