@@ -286,6 +286,19 @@ WHERE partition_id = 3 AND "offset" >= greatest(20, 50) ORDER BY "offset" LIMIT
 SELECT l.partition_id, l."offset", l.event_id, l.copy FROM log l
 JOIN (SELECT partition_id, count(*) AS n FROM log GROUP BY 1) s USING (partition_id)
 WHERE l."offset" >= s.n // 2"""),
+        "stream_append": _log(log_row),
+        "retain_by_statistics": _log("""
+SELECT l.partition_id, l."offset", l.event_id, l.copy FROM log l
+JOIN (SELECT partition_id, count(*) AS n FROM log GROUP BY 1) s USING (partition_id)
+WHERE l."offset" >= s.n // 2"""),
+        "stream_bounded_events": _log("""
+SELECT "offset" // 256 AS poll, partition_id, count(*) AS events, min("offset") AS first_offset,
+       max("offset") AS last_offset
+FROM log GROUP BY ALL"""),
+        "consumer_stats": _log("""
+SELECT partition_id, 0 AS base_offset, end_offset, c AS committed_offset, end_offset - c AS lag,
+       end_offset AS total_produced, c AS total_consumed
+FROM (SELECT partition_id, count(*) AS end_offset, least(200, count(*)) AS c FROM log GROUP BY 1)"""),
         "partition_stats": _log(f"SELECT {_STATS_COLUMNS} FROM stats"),
         "broker_totals": _log("""
 SELECT CAST(sum(end_offset) AS BIGINT) AS total_produced, CAST(sum(committed_offset) AS BIGINT) AS total_consumed,

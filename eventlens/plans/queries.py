@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,6 +14,7 @@ from eventlens.operators.pipeline import MergeableAgg, Pipeline
 from eventlens.schema import FLAT_COLUMNS
 from eventlens.session import fresh_dir, materialize
 from eventlens.sources import event_log as log, fixture
+from eventlens.sources.commit_log import CommittedLog, Consumer
 from eventlens.sources.snapshots import StateTable
 from eventlens.streaming import events as streams, maintain, stateful_dedup
 from eventlens.streaming.exact_dedup import RollingDedup
@@ -499,6 +501,73 @@ def stream_late_resends(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kind", "events", "orders", "refunds", "revenue", "refunded")
 
 
+def _committed_log(spark: SparkSession, sf_dir: str) -> CommittedLog:
+    """A log filled by a stream of two micro-batches. Each leaves a try behind that died before its
+    commit, and is handed in twice."""
+    def build() -> str:
+        landing = _Landing(spark, sf_dir, 2, in_time=True)
+        table = CommittedLog(spark, landing.dir("log"), LOG_PARTITIONS)
+        append = table.handler(keyless=False)
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            events = materialize(fixture.to_envelope(batch), "batch")
+            table.write_attempt(events, keyless=False)
+            append(events, batch_id)
+            append(events, batch_id)
+
+        for number in (0, 1):
+            landing.land(number)
+            streams.run_batches(landing.stream(), handle, landing.dir("ckpt"))
+        return table.path
+
+    return CommittedLog(spark, _once("committed", spark, sf_dir, build), LOG_PARTITIONS)
+
+
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The committed log of a stream whose batches are retried."""
+    return _log_rows(_committed_log(spark, sf_dir).read())
+
+
+def stream_bounded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each poll of at most 256 events a partition brought. The handler of the second poll
+    dies once; another reader of that name goes on."""
+    table, name = _committed_log(spark, sf_dir), f"reader-{uuid.uuid4().hex}"
+    work, died = fresh_dir(spark, "polls"), []
+
+    def handle(events: DataFrame, poll: int) -> None:
+        events.groupBy("partition_id").agg(
+            F.count("*").alias("events"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        ).write.mode("overwrite").parquet(f"{work}/poll={poll}")
+        if poll == 1 and not died:
+            died.append(poll)
+            raise InterruptedError("lost after the write")
+
+    try:
+        Consumer(table, name).run(handle)
+    except InterruptedError:
+        Consumer(table, name).run(handle)
+    return spark.read.schema(
+        "partition_id int, events long, first_offset long, last_offset long, poll long").parquet(work)
+
+
+def retain_by_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows left after every partition was rotated, decided from the table of files alone."""
+    source = _committed_log(spark, sf_dir)
+    own = CommittedLog(spark, fresh_dir(spark, "rotated"), LOG_PARTITIONS)
+    own.append(source.read().drop("offset", "partition_id"), keyless=False)
+    own.rotate(max_bytes=0)
+    return _log_rows(own.read())
+
+
+def consumer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets and lag of every partition after two polls of 100 events."""
+    table, name = _committed_log(spark, sf_dir), f"reader-{uuid.uuid4().hex}"
+    reader = Consumer(table, name, max_events=100)
+    for _ in range(2):
+        reader.poll(lambda events, poll: events.write.format("noop").mode("overwrite").save())
+    return table.stats(name)
+
+
 def _publish(spark: SparkSession, sf_dir: str, slices: int, **options) -> str:
     """Run the publishing stream over all slices; returns the published folder."""
     landing = _Landing(spark, sf_dir, slices, in_time=True)
@@ -545,7 +614,7 @@ def queries() -> dict[str, Query]:
         shard_rollup, health_bands, state_log_scan, dedup_window, dedup_report, metrics_snapshot,
         incremental_merge, snapshot_roundtrip, compact_partials, stream_bounded_read, stream_sink,
         stream_restart_dedup, stream_dedup_exact, stream_dedup_bounded, stream_maintain_bounded, stream_window, stream_maintain, stream_late_rows, stream_late_resends,
-        stream_publish,
+        stream_append, stream_bounded_events, retain_by_statistics, consumer_stats, stream_publish,
         dedup_first, active_users_approx,
         metric_history, stream_progress,
     ]
