@@ -331,6 +331,11 @@ WHERE event_id % 7 <> 0"""),
         "pipe_window_sum": _accepted(_HOURLY.format(result="CAST(sum(coalesce(amount, 0)) AS DOUBLE)")),
         "pipe_window_udaf": _accepted(_HOURLY.format(
             result="CAST(max(CAST(amount * 100 AS BIGINT)) - min(CAST(amount * 100 AS BIGINT)) AS DOUBLE) / 100")),
+        "pipe_window_median": _accepted("""
+SELECT time_bucket(INTERVAL 1 DAY, ingest_ts) AS window_start,
+       time_bucket(INTERVAL 1 DAY, ingest_ts) + INTERVAL 1 DAY AS window_end,
+       CAST(median(CAST(coalesce(amount, 0) * 100 AS BIGINT)) AS DOUBLE) AS result, count(*) AS count
+FROM accepted WHERE event_type = 'purchase' GROUP BY 1, 2"""),
         # metrics
         "kpi_totals": _accepted("""
 SELECT total_events, total_revenue, total_orders,
@@ -431,6 +436,25 @@ FROM rates JOIN ranks USING (slice)""", _HISTORY),
         "stream_progress": _accepted("""
 SELECT CAST(sum(c) AS BIGINT) AS input_rows, CAST(sum(CASE WHEN copy > 0 THEN c ELSE 0 END) AS BIGINT) AS dropped
 FROM (SELECT copy, count(*) AS c FROM deliveries WHERE copy < 2 GROUP BY copy)"""),
+        "stream_revised_windows": _with(_BASE, body="""
+, timed_commerce AS (
+  SELECT *, epoch_us(ingest_ts) AS us, min(epoch_us(ingest_ts)) OVER () AS lo, max(epoch_us(ingest_ts)) OVER () AS hi
+  FROM commerce),
+arrived AS (
+  SELECT *, time_bucket(INTERVAL 1 DAY, ingest_ts) AS w,
+         CASE WHEN us >= lo + (hi - lo) * 2 // 3 OR event_id % 10 = 3 THEN 2 WHEN us >= lo + (hi - lo) // 3 THEN 1 ELSE 0 END AS b
+  FROM timed_commerce),
+times AS (SELECT b, max(us) AS us FROM arrived GROUP BY b),
+clock AS (SELECT b, max(us) OVER (ORDER BY b) AS now, lag(us) OVER (ORDER BY b) AS previous FROM times),
+sums AS (
+  SELECT c.b, w, coalesce(sum(amount) FILTER (event_type = 'purchase'), 0) AS result, count(*) AS count,
+         count(*) FILTER (a.b = c.b) AS fresh, any_value(now) AS now, any_value(previous) AS previous
+  FROM clock c JOIN arrived a ON a.b <= c.b GROUP BY c.b, w)
+SELECT w AS window_start, w + INTERVAL 1 DAY AS window_end, row_number() OVER (PARTITION BY w ORDER BY b) - 1 AS revision,
+       CAST(result AS DOUBLE) AS result, CAST(count AS BIGINT) AS count
+FROM sums
+WHERE epoch_us(w + INTERVAL 1 DAY) <= now
+  AND (previous IS NULL OR epoch_us(w + INTERVAL 1 DAY) > previous OR fresh > 0)"""),
         "stream_window": _accepted("""
 SELECT time_bucket(INTERVAL 1 DAY, ingest_ts) AS window_start,
        time_bucket(INTERVAL 1 DAY, ingest_ts) + INTERVAL 1 DAY AS window_end,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import statistics
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -18,6 +19,7 @@ from eventlens.sources.commit_log import CommittedLog, Consumer
 from eventlens.sources.snapshots import StateTable
 from eventlens.streaming import events as streams, maintain, stateful_dedup
 from eventlens.streaming.exact_dedup import RollingDedup
+from eventlens.streaming.revised_windows import RevisedWindows
 
 LOG_PARTITIONS, SHARDS = 8, 3
 SLICES = 4
@@ -248,6 +250,12 @@ def pipe_window_udaf(df: DataFrame) -> DataFrame:
     return cents.aggregate(3600, SPREAD).apply(df).windows[0]
 
 
+def pipe_window_median(df: DataFrame) -> DataFrame:
+    """Daily median of the order values, in cents."""
+    cents = _purchases().map(lambda v: F.rint(v * 100).cast("long"))
+    return cents.aggregate(86_400, statistics.median).apply(df).windows[0]
+
+
 # --- metrics, time series, derived ----------------------------------------------------
 
 def top_categories(df: DataFrame) -> DataFrame:
@@ -471,6 +479,20 @@ def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(spark.read.parquet(landing.dir("out")))
 
 
+def stream_revised_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revision of daily revenue. One event in ten of the first two thirds comes last."""
+    landing = _Landing(spark, sf_dir, 3)
+    late = F.col("event_id") % 10 == 3
+    first, second, third, _ = landing.batches
+    streams_in = [first.where(~late), second.where(~late), third.unionByName(first.unionByName(second).where(late))]
+    revenue = metrics.total_of(metrics.is_purchase())
+    handler = RevisedWindows(spark, landing.dir("windows"), 86_400, {"result": (revenue, F.sum)})
+    for frame in streams_in:
+        streams.land([frame], landing.path)
+        streams.run_batches(landing.stream(), handler, landing.dir("ckpt"))
+    return naive(handler.revisions().withColumn("result", metrics.money("result")))
+
+
 def stream_maintain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State kept up to date by a stream with a restart, read as base plus batches."""
     landing = _Landing(spark, sf_dir, 2, in_time=True)
@@ -613,7 +635,7 @@ def queries() -> dict[str, Query]:
         route_by_key, route_round_robin, assign_offsets, log_append, log_scan, replay, retain_newest_half,
         shard_rollup, health_bands, state_log_scan, dedup_window, dedup_report, metrics_snapshot,
         incremental_merge, snapshot_roundtrip, compact_partials, stream_bounded_read, stream_sink,
-        stream_restart_dedup, stream_dedup_exact, stream_dedup_bounded, stream_maintain_bounded, stream_window, stream_maintain, stream_late_rows, stream_late_resends,
+        stream_restart_dedup, stream_dedup_exact, stream_dedup_bounded, stream_maintain_bounded, stream_window, stream_revised_windows, stream_maintain, stream_late_rows, stream_late_resends,
         stream_append, stream_bounded_events, retain_by_statistics, consumer_stats, stream_publish,
         dedup_first, active_users_approx,
         metric_history, stream_progress,
@@ -625,6 +647,7 @@ def queries() -> dict[str, Query]:
         "pipe_filter_map": on_accepted(pipe_filter_map, *sales),
         "pipe_window_sum": on_accepted(pipe_window_sum, *sales),
         "pipe_window_udaf": on_accepted(pipe_window_udaf, *sales),
+        "pipe_window_median": on_accepted(pipe_window_median, *sales),
         "kpi_totals": on_accepted(metrics.kpi_totals, *sales),
         "active_users": on_accepted(metrics.active_users, "user_id"),
         "funnel": on_accepted(metrics.funnel, "event_type"),
