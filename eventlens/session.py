@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 # A side is broadcast only when it was counted and has at most this many rows.
 BROADCAST_ROWS = 200_000
 
+# Removes a query's shuffle files when it ends, and not when the driver next collects garbage.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _open = threading.local()  # intermediates of the open `stages` blocks
 _local_dirs: dict[str, str] = {}  # fallback folder per local application
 
@@ -57,17 +60,21 @@ def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", outlives: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read and two consumers of the
     result see the same rows even when the plan above is not deterministic. The
-    files stay until the `stages` block around the call ends, if there is one.
+    files stay until the `stages` block around the call ends, if there is one; the shuffle
+    files of the plan go at once, since nothing reads them again. What ``outlives`` the
+    innermost block belongs to the one around it.
     """
     path = fresh_dir(df.sparkSession, name)
-    for written in getattr(_open, "blocks", [])[-1:]:
+    blocks = getattr(_open, "blocks", [])
+    for written in (blocks[:-1] if outlives else blocks)[-1:]:
         written.append(path)
-    df.write.parquet(path)
+    with session_settings(df.sparkSession, {_SHUFFLE_CLEANUP: "true"}):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
