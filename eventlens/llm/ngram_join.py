@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from eventlens.llm.components import components
 from eventlens.llm.rows import ROW, identified, with_text
 from eventlens.llm.tokens import as_long, joined, list_of_longs, slices, window_numbers, word_numbers
-from eventlens.session import broadcast_if_small, materialize
+from eventlens.session import broadcast_if_small, materialize, stages
 
 WORDS = 5
 PERCENT = 80
@@ -111,7 +111,9 @@ def _index(full: DataFrame) -> DataFrame:
     grams = full.select("node", F.explode("grams").alias("gram"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("sets")).filter("sets > 1")
     own = W.partitionBy("node")
-    shared = grams.join(counts, "gram").select(
+    # Written between the two shuffles, so that the files of the first are gone at the second.
+    found = materialize(grams.join(counts, "gram"), "found")
+    shared = found.select(
         "gram", "node", F.count("*").over(own).alias("elsewhere"),
         F.row_number().over(own.orderBy("sets", "gram")).alias("rank")).join(full.select("node", "n"), "node")
     place = F.col("n") - F.col("elsewhere") + F.col("rank") - 1
@@ -214,13 +216,8 @@ def _sharing(summary: DataFrame, nodes: DataFrame) -> DataFrame:
         F.col("id").alias("node"), *ROW)
 
 
-def linked_sets(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """(rows, roots): the set of each row of (doc_id, text) as ``node`` with its size ``n``,
-    and (node, root) of the connected nodes that are not roots themselves."""
-    rows = identified(docs.select("doc_id", "text"))
-    summary = materialize(_summaries(rows, words).withColumn("id", F.monotonically_increasing_id()), "sets")
-    nodes = materialize(summary.groupBy("digest").agg(F.min("id").alias("node")), "nodes")
-    chosen = materialize(_sharing(summary, nodes), "sharing")
+def _roots(rows: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
+    """(node, root) of the connected ones among the nodes ``chosen`` that are not roots themselves."""
     full = materialize(_full_sets(with_text(chosen, rows), words), "grams")
 
     index = materialize(_index(full), "index")
@@ -233,9 +230,23 @@ def linked_sets(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFra
         links = materialize(found if links is None else found.unionByName(links), "links")
         roots = components(links)
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    if roots is None:
-        roots = chosen.select("node", F.col("node").alias("root")).limit(0)
-    return summary.drop("probes").join(nodes, "digest").select("doc_id", *ROW, "n", "node"), roots
+    return chosen.select("node", F.col("node").alias("root")).limit(0) if roots is None else roots
+
+
+def linked_sets(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """(rows, roots): the set of each row of (doc_id, text) as ``node`` with its size ``n``,
+    and (node, root) of the connected nodes that are not roots themselves."""
+    rows = identified(docs.select("doc_id", "text"))
+    # Each block deletes what it wrote but does not hand on: first n-grams and their counts
+    # before the whole sets are made, those sets and their lists before the result is joined.
+    with stages(docs.sparkSession):
+        probed = materialize(_summaries(rows, words).withColumn("id", F.monotonically_increasing_id()), "sets")
+        summary = materialize(probed.drop("probes"), "summary", outlives=True)
+        nodes = materialize(summary.groupBy("digest").agg(F.min("id").alias("node")), "nodes", outlives=True)
+        chosen = materialize(_sharing(probed, nodes), "sharing", outlives=True)
+    with stages(docs.sparkSession):
+        roots = materialize(_roots(rows, chosen, words), "roots", outlives=True)
+    return summary.join(nodes, "digest").select("doc_id", *ROW, "n", "node"), roots
 
 
 def _groups(docs: DataFrame, words: int) -> DataFrame:
