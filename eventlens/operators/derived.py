@@ -68,15 +68,18 @@ def refund_rate(df: DataFrame) -> DataFrame:
 
 
 def broker_totals(stats: DataFrame, alert_above: int = TOTAL_LAG_ALERT) -> DataFrame:
-    """Totals over the partition statistics, with the lag alert."""
+    """Totals over the partition statistics, with the lag alert; backpressure events where the
+    statistics count them."""
     def total(col: str) -> Column:
         return F.coalesce(F.sum(col), F.lit(0))
 
+    held = [total(c).alias(c) for c in ("backpressure_events",) if c in stats.columns]
     return stats.agg(
         total("total_produced").alias("total_produced"),
         total("total_consumed").alias("total_consumed"),
         total("lag").alias("queue_lag"),
         (total("lag") > alert_above).alias("lag_alert"),
+        *held,
     )
 
 

@@ -60,7 +60,7 @@ def with_duplicates(state: MetricState, duplicates: DataFrame) -> MetricState:
     return MetricState(state.partials.unionByName(_duplicate_row(duplicates)), state.samples)
 
 
-def _keys() -> dict[str, Column]:
+def event_keys() -> dict[str, Column]:
     """Key of an event in each text kind; null where the event does not count."""
     sold = F.col("event_type") == PURCHASE
     return {
@@ -76,7 +76,7 @@ def _keys() -> dict[str, Column]:
 
 def _partials(df: DataFrame, time_col: str) -> DataFrame:
     keyed = df.select(
-        *[value.alias(f"k_{kind}") for kind, value in _keys().items()],
+        *[value.alias(f"k_{kind}") for kind, value in event_keys().items()],
         *[F.date_trunc(unit, time_col).alias(f"k_{unit}") for unit in TIME_KINDS],
         F.col(time_col).alias("seen_at"), "event_type", "amount",
     )

@@ -296,8 +296,14 @@ SELECT "offset" // 256 AS poll, partition_id, count(*) AS events, min("offset")
 FROM log GROUP BY ALL"""),
         "consumer_stats": _log("""
 SELECT partition_id, 0 AS base_offset, end_offset, c AS committed_offset, end_offset - c AS lag,
-       end_offset AS total_produced, c AS total_consumed
-FROM (SELECT partition_id, count(*) AS end_offset, least(200, count(*)) AS c FROM log GROUP BY 1)"""),
+       end_offset AS total_produced, c AS total_consumed, greatest(0, end_offset - 100) AS backpressure_events
+FROM (SELECT CAST(r.range AS INTEGER) AS partition_id, count("offset") AS end_offset, least(200, count("offset")) AS c
+      FROM range(8) r LEFT JOIN log ON partition_id = r.range GROUP BY 1)"""),
+        "consumer_totals": _log("""
+SELECT CAST(sum(n) AS BIGINT) AS total_produced, CAST(sum(least(200, n)) AS BIGINT) AS total_consumed,
+       CAST(sum(n - least(200, n)) AS BIGINT) AS queue_lag, sum(n - least(200, n)) > 50000 AS lag_alert,
+       CAST(sum(greatest(0, n - 100)) AS BIGINT) AS backpressure_events
+FROM (SELECT partition_id, count(*) AS n FROM log GROUP BY 1)"""),
         "partition_stats": _log(f"SELECT {_STATS_COLUMNS} FROM stats"),
         "broker_totals": _log("""
 SELECT CAST(sum(end_offset) AS BIGINT) AS total_produced, CAST(sum(committed_offset) AS BIGINT) AS total_consumed,
@@ -428,6 +434,22 @@ FROM commerce"""),
 SELECT 'total' AS kind, total_events AS events, total_orders AS orders, refunds, total_revenue AS revenue,
        refund_amount AS refunded FROM kpis
 UNION ALL SELECT 'duplicates', {_REJECTED}, 0, 0, 0, 0""", _KPIS),
+        "stream_users_of_week": _accepted("""
+SELECT day, count(DISTINCT user_id) AS users, count(user_id) AS events, true AS within_bounds
+FROM (SELECT DISTINCT CAST(ingest_ts AS DATE) AS day FROM accepted WHERE user_id IS NOT NULL)
+JOIN accepted ON CAST(ingest_ts AS DATE) BETWEEN day - 6 AND day
+GROUP BY day"""),
+        "stream_top_k": _accepted("""
+SELECT kind, place, key, event_count, first_seen, true AS proven
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY kind ORDER BY event_count DESC, first_seen, key) AS place
+  FROM (SELECT kind, key, count(*) AS event_count, min(ingest_ts) AS first_seen
+        FROM accepted, LATERAL (VALUES
+          ('product', CASE WHEN event_type = 'purchase' THEN nullif(product_name, '') END),
+          ('category', CASE WHEN event_type = 'purchase' THEN nullif(category, '') END),
+          ('country', country), ('query', query)) AS e(kind, key)
+        WHERE key IS NOT NULL GROUP BY kind, key))
+WHERE place <= CASE WHEN kind IN ('product', 'country') THEN 10 ELSE 8 END"""),
         "stream_publish": _snapshot(_REJECTED),
         "metric_history": _accepted("""
 SELECT CAST(slice - 1 AS BIGINT) AS sample_no, current_eps, avg_eps_5s, p50 AS p50_latency_ms, p99 AS p99_latency_ms

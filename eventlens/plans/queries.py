@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from eventlens.functions import category_label
-from eventlens.operators import dedup, derived, metrics, state as st, timeseries as ts
+from eventlens.operators import dedup, derived, metrics, sketches, state as st, timeseries as ts
 from eventlens.operators.pipeline import MergeableAgg, Pipeline
 from eventlens.schema import FLAT_COLUMNS
 from eventlens.session import fresh_dir, materialize
@@ -19,6 +19,7 @@ from eventlens.sources.commit_log import CommittedLog, Consumer
 from eventlens.sources.snapshots import StateTable
 from eventlens.streaming import events as streams, maintain, stateful_dedup
 from eventlens.streaming.exact_dedup import RollingDedup
+from eventlens.streaming.folded_state import FoldedState
 from eventlens.streaming.revised_windows import RevisedWindows
 
 LOG_PARTITIONS, SHARDS = 8, 3
@@ -590,6 +591,43 @@ def consumer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.stats(name)
 
 
+def consumer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals of `consumer_stats`."""
+    return derived.broker_totals(consumer_stats(spark, sf_dir))
+
+
+def _folded(clean: DataFrame, schema: str, build: Callable, merge: Callable, batches: int = 3) -> DataFrame:
+    """The state after a stream has brought these rows in micro-batches, with restarts."""
+    spark = clean.sparkSession
+    work = fresh_dir(spark, "folded")
+    for part in streams.split_by_time(clean, batches):
+        streams.land([part], f"{work}/landing")
+        state = FoldedState(spark, f"{work}/state", schema, build, merge)
+        streams.run_batches(streams.read_landed(spark, f"{work}/landing", clean.schema), state, f"{work}/ckpt")
+    return state.read()
+
+
+def stream_users_of_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of every seven days: counted, and whether the folded sketches are within their bounds."""
+    clean = materialize(accepted(spark, sf_dir, ["event_id", "ingest_ts", "user_id"]), "accepted")
+    state = _folded(clean, sketches.USERS_SCHEMA, sketches.user_sketches, sketches.merge_users)
+    about = sketches.users_of_last_days(state)
+    return sketches.exact_users_of_last_days(clean).join(about, "day").select(
+        "day", "users", "events", F.col("users").between(F.col("low"), F.col("high")).alias("within_bounds"))
+
+
+TOP_KINDS = {"product": metrics.TOP_PRODUCTS, "category": metrics.TOP_CATEGORIES, "country": metrics.TOP_COUNTRIES,
+             "query": metrics.TOP_TERMS}
+
+
+def stream_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served lists from state of bounded size, each place with whether it is proven."""
+    clean = materialize(accepted(spark, sf_dir), "accepted")
+    keys = {kind: st.event_keys()[kind] for kind in TOP_KINDS}
+    state = _folded(clean, sketches.KEYS_SCHEMA, lambda df: sketches.frequent_keys(df, keys), sketches.merge_keys)
+    return naive(sketches.proven_top_k(clean, keys, state, TOP_KINDS))
+
+
 def _publish(spark: SparkSession, sf_dir: str, slices: int, **options) -> str:
     """Run the publishing stream over all slices; returns the published folder."""
     landing = _Landing(spark, sf_dir, slices, in_time=True)
@@ -637,7 +675,8 @@ def queries() -> dict[str, Query]:
         shard_rollup, health_bands, state_log_scan, dedup_window, dedup_report, metrics_snapshot,
         incremental_merge, snapshot_roundtrip, compact_partials, stream_bounded_read, stream_sink,
         stream_restart_dedup, stream_dedup_exact, stream_dedup_bounded, stream_maintain_bounded, stream_window, stream_revised_windows, stream_maintain, stream_late_rows, stream_late_resends,
-        stream_append, stream_bounded_events, retain_by_statistics, consumer_stats, stream_publish,
+        stream_append, stream_bounded_events, retain_by_statistics, consumer_stats, consumer_totals,
+        stream_users_of_week, stream_top_k, stream_publish,
         dedup_first, active_users_approx,
         metric_history, stream_progress,
     ]

@@ -250,13 +250,15 @@ class CommittedLog:
             delete_folder(self.spark, r.file)
 
     def stats(self, consumer: str | None = None) -> DataFrame:
-        """Offsets, lag and volumes of every partition; consumed is what ``consumer`` finished."""
+        """Offsets, lag and volumes of every partition; consumed is what ``consumer`` finished, and
+        backpressure events are those that a poll left waiting when they first were there."""
         head = self._head()[1]
-        done = Consumer(self, consumer).position() if consumer else [0] * self.partitions
-        rows = [(p, b, e, c, e - c, e, c) for p, (b, e, c) in enumerate(zip(head["bases"], head["ends"], done))]
+        reader = Consumer(self, consumer) if consumer else None
+        done, held = (reader.position(), reader.held()) if reader else ([0] * self.partitions,) * 2
+        rows = [(p, b, e, c, e - c, e, c, h) for p, (b, e, c, h) in enumerate(zip(head["bases"], head["ends"], done, held))]
         return self.spark.createDataFrame(
             rows, "partition_id int, base_offset long, end_offset long, committed_offset long, lag long, "
-                  "total_produced long, total_consumed long")
+                  "total_produced long, total_consumed long, backpressure_events long")
 
 
 class Consumer:
@@ -277,6 +279,11 @@ class Consumer:
         number = self._done.last()
         return self._plans.get(number)["to"] if number >= 0 else [0] * self.log.partitions
 
+    def held(self) -> list[int]:
+        """How many events of each partition had to wait for more than one poll so far."""
+        number = self._plans.last()
+        return self._plans.get(number).get("held", [0] * self.log.partitions) if number >= 0 else [0] * self.log.partitions
+
     def plan(self) -> tuple[int, dict] | None:
         """(number, ranges) of the next poll; None if nothing is waiting."""
         number = self._done.last() + 1
@@ -287,7 +294,13 @@ class Consumer:
         to = [min(a + self.max_events, e) for a, e in zip(start, head["ends"])]
         if to == start:
             return None
-        ranges = {"from": start, "to": to, "behind": [e - a for a, e in zip(start, head["ends"])]}
+        last = self._plans.get(number - 1) if number else {}
+        nothing = [0] * self.log.partitions
+        # events that this poll is the first to see and leaves waiting
+        held = [h + max(0, e - max(t, seen)) for h, e, t, seen in zip(
+            last.get("held", nothing), head["ends"], to, last.get("ends", nothing))]
+        ranges = {"from": start, "to": to, "behind": [e - a for a, e in zip(start, head["ends"])],
+                  "ends": head["ends"], "held": held}
         if not self._plans.create(number, ranges):
             raise CommitConflict("two readers use one consumer name")
         return number, ranges

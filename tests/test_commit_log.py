@@ -130,3 +130,11 @@ def test_lag_of_a_reader(table, batch):
         reader.poll(lambda events, number: None)
     busy = max(table.stats("r").collect(), key=lambda r: r.end_offset)
     assert (busy.committed_offset, busy.lag, busy.total_produced) == (10, 10, 20)
+    # each event that had to wait counts once, at the first poll that saw it
+    assert busy.backpressure_events == 15
+    table.append(batch(20, 20, users=1))
+    reader.run(lambda events, number: None)
+    table.append(batch(40, 3, users=1))
+    reader.run(lambda events, number: None)
+    caught_up = max(table.stats("r").collect(), key=lambda r: r.end_offset)
+    assert (caught_up.lag, caught_up.backpressure_events) == (0, 35)
