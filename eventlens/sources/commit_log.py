@@ -26,6 +26,7 @@ from eventlens.session import delete_folder, materialize, read_or_none
 from eventlens.sources.event_log import ARRIVAL, LOG_MAX_BYTES, assign_offsets, log_lines, route
 
 POLL_EVENTS = 256  # fixed value: events of a partition that one poll takes at most
+ROUND_POLLS = 4096  # polls that a reader behind by many takes in one job at most
 _FILES = "attempt string, partition_id int, file string, rows long, bytes long, first_offset long, end_offset long"
 
 
@@ -267,6 +268,9 @@ class Consumer:
     A poll's ranges are written before its rows are handed out, and marked when the handler
     returns. After a restart an unfinished poll is repeated with the same ranges, under the
     same number.
+
+    A reader that is many polls behind can take them in rounds: consecutive polls, each with the
+    events it would have had by itself, handed out as one frame and finished together.
     """
 
     def __init__(self, log: CommittedLog, name: str, max_events: int = POLL_EVENTS):
@@ -277,43 +281,52 @@ class Consumer:
     def position(self) -> list[int]:
         """The next offset of each partition after the finished polls."""
         number = self._done.last()
-        return self._plans.get(number)["to"] if number >= 0 else [0] * self.log.partitions
+        if number < 0:
+            return [0] * self.log.partitions
+        return self._plans.get(self._done.get(number).get("plan", number))["to"]
 
     def held(self) -> list[int]:
         """How many events of each partition had to wait for more than one poll so far."""
         number = self._plans.last()
         return self._plans.get(number).get("held", [0] * self.log.partitions) if number >= 0 else [0] * self.log.partitions
 
-    def plan(self) -> tuple[int, dict] | None:
-        """(number, ranges) of the next poll; None if nothing is waiting."""
+    def plan(self, polls: int = 1) -> tuple[int, dict] | None:
+        """(number, ranges) of the next poll, or the first of a round of up to ``polls`` polls; None if
+        nothing is waiting. What was planned and not finished comes as it was planned."""
         number = self._done.last() + 1
         if self._plans.last() >= number:
             return number, self._plans.get(number)
         head = self.log._head()[1]
         start = [max(a, b) for a, b in zip(self.position(), head["bases"])]
-        to = [min(a + self.max_events, e) for a, e in zip(start, head["ends"])]
-        if to == start:
+        most = max(0, *(e - a for a, e in zip(start, head["ends"])))
+        if not most:
             return None
-        last = self._plans.get(number - 1) if number else {}
+        polls = min(polls, -(-most // self.max_events))
+        first, to = ([min(a + n * self.max_events, e) for a, e in zip(start, head["ends"])] for n in (1, polls))
+        last = self._plans.get(self._plans.last()) if number else {}
         nothing = [0] * self.log.partitions
         # events that this poll is the first to see and leaves waiting
         held = [h + max(0, e - max(t, seen)) for h, e, t, seen in zip(
-            last.get("held", nothing), head["ends"], to, last.get("ends", nothing))]
+            last.get("held", nothing), head["ends"], first, last.get("ends", nothing))]
         ranges = {"from": start, "to": to, "behind": [e - a for a, e in zip(start, head["ends"])],
-                  "ends": head["ends"], "held": held}
+                  "ends": head["ends"], "held": held, "polls": polls, "size": self.max_events}
         if not self._plans.create(number, ranges):
             raise CommitConflict("two readers use one consumer name")
         return number, ranges
 
-    def rows(self, ranges: dict) -> DataFrame:
-        """The events of planned ranges: only the folders and files that hold them are read."""
+    def rows(self, ranges: dict, first: int | None = None) -> DataFrame:
+        """The events of planned ranges: only the folders and files that hold them are read. With the
+        number of the ``first`` poll, each has its own in the column ``poll``."""
         taken = [(p, a, b) for p, (a, b) in enumerate(zip(ranges["from"], ranges["to"])) if b > a]
         bounds = self.log.spark.createDataFrame(taken, "partition_id int, _a long, _b long")
         files = self.log.files().join(F.broadcast(bounds), "partition_id").where(
             (F.col("first_offset") < F.col("_b")) & (F.col("end_offset") > F.col("_a")))
         rows = self.log.load([r.file for r in files.select("file").collect()])  # those of one poll
-        return rows.join(F.broadcast(bounds), "partition_id").where(
-            F.col("offset").between(F.col("_a"), F.col("_b") - 1)).select(*rows.columns)
+        taken = rows.join(F.broadcast(bounds), "partition_id").where(F.col("offset").between(F.col("_a"), F.col("_b") - 1))
+        if first is None:
+            return taken.select(*rows.columns)
+        size = ranges.get("size", self.max_events)
+        return taken.select(*rows.columns, F.expr(f"{first} + (offset - _a) div {size}").alias("poll"))
 
     def poll(self, handle: Callable[[DataFrame, int], None]) -> bool:
         """Hand the next events and the poll's number to ``handle``; False if there are none."""
@@ -321,13 +334,34 @@ class Consumer:
         if planned is None:
             return False
         number, ranges = planned
+        if ranges.get("polls", 1) > 1:
+            raise CommitConflict(f"a round of polls from {number} on is not finished")
         handle(self.rows(ranges), number)
-        self._done.create(number, {})
+        self._done.create(number, {"plan": number})
         return True
 
+    def poll_round(self, handle: Callable[[DataFrame, int], None], polls: int = ROUND_POLLS) -> int:
+        """Hand the events of the next ``polls`` polls or fewer to ``handle`` at once, with their poll's
+        number in the column ``poll``, and the number of the first; how many polls these were."""
+        planned = self.plan(polls)
+        if planned is None:
+            return 0
+        number, ranges = planned
+        count = ranges.get("polls", 1)
+        handle(self.rows(ranges, number), number)
+        self._done.create(number + count - 1, {"plan": number})
+        return count
+
     def run(self, handle: Callable[[DataFrame, int], None]) -> int:
         """Poll until nothing waits; the number of polls."""
         count = 0
         while self.poll(handle):
             count += 1
         return count
+
+    def run_rounds(self, handle: Callable[[DataFrame, int], None], polls: int = ROUND_POLLS) -> int:
+        """Like `run`, in rounds: the jobs follow the volume and not the number of polls."""
+        count = 0
+        while done := self.poll_round(handle, polls):
+            count += done
+        return count

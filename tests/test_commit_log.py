@@ -138,3 +138,44 @@ def test_lag_of_a_reader(table, batch):
     reader.run(lambda events, number: None)
     caught_up = max(table.stats("r").collect(), key=lambda r: r.end_offset)
     assert (caught_up.lag, caught_up.backpressure_events) == (0, 35)
+
+
+def test_a_round_hands_out_the_polls_one_by_one_would_bring(table, batch):
+    table.append(batch(0, 300, users=4))
+    single, rounds, calls = [], [], []
+
+    def each(events, number):
+        single.extend((number, r.partition_id, r.offset) for r in events.collect())
+
+    def together(events, number):
+        calls.append(number)
+        rounds.extend((r.poll, r.partition_id, r.offset) for r in events.collect())
+        if len(calls) == 2:
+            rounds.clear()
+            raise InterruptedError
+
+    polls = Consumer(table, "single", max_events=7).run(each)
+    reader = Consumer(table, "rounds", max_events=7)
+    assert reader.poll_round(together, 1) == 1
+    first = [*rounds]
+    with pytest.raises(InterruptedError):
+        reader.run_rounds(together, polls=8)
+    # another size and length do not change what was planned
+    assert Consumer(table, "rounds", max_events=50).poll_round(together, 2) == 8
+    assert 1 + 8 + Consumer(table, "rounds", max_events=7).run_rounds(together, polls=8) == polls > 12
+    assert sorted(first + rounds) == sorted(single)
+    assert calls[:4] == [0, 1, 1, 9] and len(calls) < polls / 2
+    assert rows(table.stats("rounds")) == rows(table.stats("single"))
+
+
+def test_jobs_of_the_registered_polls_do_not_follow_their_number(spark, monkeypatch):
+    from conftest import SMALL
+    from eventlens.plans import queries
+
+    monkeypatch.setattr(Consumer.__init__, "__defaults__", (5,))
+    asked = []
+    plan = Consumer.plan
+    monkeypatch.setattr(Consumer, "plan", lambda self, *a: asked.append(1) or plan(self, *a))
+    polls = queries.stream_bounded_events(spark, SMALL)
+    assert polls.agg(F.max("poll")).first()[0] > 20 and polls.agg(F.max("events")).first()[0] == 5
+    assert len(asked) <= 4
