@@ -103,3 +103,83 @@ def test_the_state_of_metrics_behind_it(spark, events):
     assert (kpi.total_events, kpi.total_revenue) == (7, 70.0)
     duplicates = table.read().partials.where("kind = 'duplicates'").agg(F.sum("events")).first()[0]
     assert duplicates == 13
+
+
+class _Store:
+    """State and timers of one key, counting the calls."""
+
+    def __init__(self):
+        self.values, self.meta, self.calls = {}, None, 0
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        store = self
+
+        class Value:
+            exists = staticmethod(lambda: store.meta is not None)
+            get = staticmethod(lambda: store.meta)
+            update = staticmethod(lambda value: setattr(store, "meta", value))
+            clear = staticmethod(lambda: setattr(store, "meta", None))
+
+        return Value
+
+    def registerTimer(self, ms):
+        pass
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.values[key] = value
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.values[key]
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.values[key]
+
+    def keys(self):
+        return iter(list(self.values))
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_calls_to_the_store_follow_the_rows_and_not_the_time_they_span(monkeypatch):
+    import pandas as pd
+    from eventlens.streaming import stateful_dedup
+
+    monkeypatch.setattr(stateful_dedup, "PART_ROWS", 100)
+    store, rng = _Store(), random.Random(3)
+    processor = stateful_dedup._InOrder(30_000_000)
+    processor.init(store)
+    given = [(rng.randrange(10**6) * 1_000_000, f"e{rng.randrange(40)}", '{"copy":%d}' % i, str(i)) for i in range(1000)]
+    given += [(us + 10_000_000, name, tie, packed + "x") for us, name, tie, packed in given[:300]]
+    rng.shuffle(given)
+    for part in (given[:650], given[650:]):
+        frame = pd.DataFrame(part, columns=["us", "id", "tie", "packed"])
+        processor.handleInputRows(("k",), iter([frame]), store)
+    out = []
+    for store.watermark in (0, 3 * 10**8, 10**9 + 10**5):
+        out += [tuple(r) for f in processor.handleExpiredTimer(("k",), store, None) for r in f.itertuples(index=False)]
+    want, last = [], {}
+    for us, name, tie, packed in sorted(given, key=lambda r: (r[0], r[1], stateful_dedup._rank(r))):
+        accepted = name not in last or us - last[name] >= 30_000_000
+        last |= {name: us} if accepted else {}
+        want.append((packed, not accepted))
+    assert out == want and any(flag for _, flag in out)
+    assert not store.values and store.calls < 60
+
+
+def test_rows_come_back_as_they_were(spark):
+    from eventlens.streaming.stateful_dedup import FLAG, _packed, _unpacked
+
+    df = spark.sql("""SELECT * FROM VALUES
+      (9007199254740993L, timestamp'2024-01-01 00:00:00.123456', timestamp_ntz'2024-01-01 00:00:00.123456', double('NaN'), 0.1D,
+       cast('12345678901234.12' AS decimal(18,2)), 'a"\\\n\u00e9', named_struct('x', timestamp'1900-01-01 00:00:00.000001', 'y', X'00FF')),
+      (NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL), (1L, NULL, NULL, double('-Infinity'), 1e300D, 0.10, '', NULL)""")
+    back = _unpacked(df.select(_packed(df.schema).alias("packed"), F.lit(False).alias(FLAG)), df.schema).drop(FLAG)
+    assert [f.dataType.simpleString() for f in back.schema] == [f.dataType.simpleString() for f in df.schema]
+    assert repr(rows(back)) == repr(rows(df))  # NaN is not equal to itself
