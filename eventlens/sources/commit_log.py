@@ -134,12 +134,21 @@ class CommittedLog:
 
     # --- append ---
 
-    def write_attempt(self, events: DataFrame, arrival: list[str] = ARRIVAL, keyless: bool = True) -> dict:
+    def number(self, events: DataFrame, arrival: list[str] = ARRIVAL, keyless: bool = True) -> DataFrame:
+        """The rows of a batch with their partition and, as offset, their place in it. Tries to append
+        a batch can share it (``numbered``): the sort of the batch is written once."""
+        return assign_offsets(route(events, self.partitions, arrival, keyless), arrival)
+
+    def write_attempt(
+        self, events: DataFrame, arrival: list[str] = ARRIVAL, keyless: bool = True, numbered: bool = False,
+    ) -> dict:
         """Write the rows with the offsets they would get, not yet part of the log."""
         number, head = self._head()
         attempt = uuid.uuid4().hex
         ends = self.spark.createDataFrame([*enumerate(head["ends"])], "partition_id int, end_offset long")
-        placed = assign_offsets(route(events, self.partitions, arrival, keyless), arrival, ends)
+        places = events if numbered else self.number(events, arrival, keyless)
+        placed = places.join(F.broadcast(ends), "partition_id").withColumn(
+            "offset", F.col("offset") + F.col("end_offset")).select(*places.columns)
         folder = f"{self.path}/data/attempt={attempt}"
         placed.sortWithinPartitions("partition_id", "offset").write.partitionBy("partition_id").parquet(folder)
         # partition_id is a string to Spark's writer and comes back as a number.
@@ -154,7 +163,7 @@ class CommittedLog:
 
     def append(
         self, events: DataFrame, batch_id: int | None = None, writer: str = "main", arrival: list[str] = ARRIVAL,
-        keyless: bool = True,
+        keyless: bool = True, numbered: bool = False,
     ) -> bool:
         """Append a batch once, however often it is tried; False if it was there already.
 
@@ -162,7 +171,7 @@ class CommittedLog:
         """
         if batch_id is not None and self.has(batch_id, writer):
             return False
-        commit = self.write_attempt(events, arrival, keyless)
+        commit = self.write_attempt(events, arrival, keyless, numbered)
         if not self._commits.create(commit["number"], commit | {"batch_id": batch_id, "writer": writer}):
             delete_folder(self.spark, f"{self.path}/data/attempt={commit['attempt']}")
             delete_folder(self.spark, f"{self.path}/files/attempt={commit['attempt']}")

@@ -179,3 +179,18 @@ def test_jobs_of_the_registered_polls_do_not_follow_their_number(spark, monkeypa
     polls = queries.stream_bounded_events(spark, SMALL)
     assert polls.agg(F.max("poll")).first()[0] > 20 and polls.agg(F.max("events")).first()[0] == 5
     assert len(asked) <= 4
+
+
+def test_tries_share_the_numbering_of_a_batch(table, batch, monkeypatch):
+    from eventlens.sources import commit_log
+
+    sorts = []
+    assign = commit_log.assign_offsets
+    monkeypatch.setattr(commit_log, "assign_offsets", lambda *a: sorts.append(1) or assign(*a))
+    table.append(batch(0, 9))
+    events = table.number(batch(9, 8))
+    table.write_attempt(events, numbered=True)  # died
+    assert table.append(events, 1, numbered=True) and not table.append(events, 1, numbered=True)
+    assert len(sorts) == 2
+    monkeypatch.undo()
+    assert placed(table.read()) == placed(event_log.assign_offsets(event_log.route(batch(0, 17), 3)))
