@@ -89,9 +89,11 @@ def dedup_window(
         accepted = accepted.unionByName(_chain(arrivals, heavy, sizes.heavy, busy, width))
 
     ties = [c for c in tie_cols if c in df.columns]
-    settled = _first_by(repeated, [id_col, "_us"], ties or [F.lit(0)]).join(
+    # Written, like all that decides: which of two equal deliveries stays must not change from
+    # one read of the result to the next.
+    settled = materialize(_first_by(repeated, [id_col, "_us"], ties or [F.lit(0)]).join(
         accepted, F.col(id_col).eqNullSafe(F.col("_cid")) & (F.col("_us") == F.col("_t")), "left_semi",
-    )
+    ), "settled")
     return passed.unionByName(settled).drop("_us")
 
 

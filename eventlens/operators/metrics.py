@@ -29,13 +29,24 @@ def exact_amount() -> Column:
     return F.col("amount").try_cast(AMOUNT)
 
 
+def amount_of(condition: Column) -> Column:
+    """``amount`` of matching rows, as `exact_amount`; null for others."""
+    return F.when(condition, exact_amount())
+
+
 def total_of(condition: Column) -> Column:
-    """Exact sum of ``amount`` over matching rows; what is no amount counts as 0.
+    """Exact sum of ``amount`` over matching rows; what is no amount counts as 0."""
+    return F.coalesce(F.sum(amount_of(condition)), F.lit(0).cast(TOTAL_AMOUNT))
+
+
+def sum_of(amounts: str) -> Column:
+    """Sum of a column of exact amounts, 0 where there are none. The filter keeps Spark from taking
+    the wide decimal out of the buffer and back for each row without an amount.
 
     A decimal sum does not depend on the order of the rows and is rounded only when
     it is read (`money`).
     """
-    return F.coalesce(F.sum(F.when(condition, exact_amount())), F.lit(0).cast(TOTAL_AMOUNT))
+    return F.coalesce(F.expr(f"sum({amounts}) FILTER (WHERE {amounts} IS NOT NULL)"), F.lit(0).cast(TOTAL_AMOUNT))
 
 
 def money(total: str | Column) -> Column:

@@ -1,8 +1,8 @@
 """Metric state as one mergeable table, and the snapshot served from it.
 
 ``partials`` holds everything the dashboard metrics need: one row per (kind, key,
-bucket) with counts, money and first arrival. It is built in one pass (grouping
-sets: one scan, map-side combine, one shuffle) and any two tables merge by adding
+bucket) with counts, money and first arrival. It is built in one pass (a row for each
+key of an event: one scan, map-side combine, one shuffle) and any two tables merge by adding
 up, so batches, restarts and compaction all give what one full pass gives.
 ``samples`` holds the newest arrivals for the latency ranks.
 """
@@ -75,34 +75,28 @@ def event_keys() -> dict[str, Column]:
 
 
 def _partials(df: DataFrame, time_col: str) -> DataFrame:
+    keys = event_keys() | {
+        unit: F.unix_micros(F.date_trunc(unit, time_col)).cast("string") for unit in TIME_KINDS} | {TOTAL: F.lit("")}
+    # Worked out here once a row, since the rows below are one for each key of an event. An event
+    # without a key of some kind has no row there; the grand total has one for every event.
     keyed = df.select(
-        *[value.alias(f"k_{kind}") for kind, value in event_keys().items()],
-        *[F.date_trunc(unit, time_col).alias(f"k_{unit}") for unit in TIME_KINDS],
-        F.col(time_col).alias("seen_at"), "event_type", "amount",
-    )
-    keys = [f"k_{kind}" for kind in (*TEXT_KINDS, *TIME_KINDS)]
-    grouped = keyed.groupingSets([[k] for k in keys] + [[]], *keys).agg(
-        F.grouping_id().alias("set_id"),
-        F.count("*").alias("events"),
-        F.count_if(metrics.is_purchase()).alias("orders"),
-        F.count_if(metrics.is_refund()).alias("refunds"),
-        metrics.total_of(metrics.is_purchase()).alias("revenue"),
-        metrics.total_of(metrics.is_refund()).alias("refunded"),
-        F.min("seen_at").alias("first_seen"),
-    )
-    # In a grouping id the bit of a key is 0 where the row is grouped by it.
-    everything = 2 ** len(keys) - 1
-    kind = F.when(F.col("set_id") == everything, TOTAL)
-    for place, key in enumerate(keys):
-        kind = kind.when(F.col("set_id") == everything - 2 ** (len(keys) - 1 - place), key[2:])
-    text = F.coalesce(*[F.col(f"k_{k}") for k in TEXT_KINDS])
-    bucket = F.coalesce(*[F.col(f"k_{k}") for k in TIME_KINDS])
-    # The null group of a kind counts the events without that key; only the grand
-    # total keeps its keyless row.
-    return _conform(
-        grouped.select(kind.alias("kind"), text.alias("key"), bucket.alias("bucket"), *_MEASURES)
-        .where((F.col("kind") == TOTAL) | F.col("key").isNotNull() | F.col("bucket").isNotNull())
+        *[value.alias(kind) for kind, value in keys.items()],
+        F.col(time_col).alias("seen_at"), metrics.is_purchase().alias("sold"), metrics.is_refund().alias("returned"),
+        metrics.amount_of(metrics.is_purchase()).alias("paid"), metrics.amount_of(metrics.is_refund()).alias("paid_back"),
     )
+    grouped = (
+        keyed.unpivot(["seen_at", "sold", "returned", "paid", "paid_back"], list(keys), "kind", "key")
+        .where(F.col("key").isNotNull()).groupBy("kind", "key").agg(
+            F.count("*").alias("events"),
+            F.count_if("sold").alias("orders"),
+            F.count_if("returned").alias("refunds"),
+            metrics.sum_of("paid").alias("revenue"),
+            metrics.sum_of("paid_back").alias("refunded"),
+            F.min("seen_at").alias("first_seen"),
+        ))
+    bucket = F.timestamp_micros(F.when(F.col("kind").isin(TIME_KINDS), F.col("key")).cast("long"))
+    text = F.when(F.col("kind").isin(TEXT_KINDS), F.col("key"))
+    return _conform(grouped.select("kind", text.alias("key"), bucket.alias("bucket"), *_MEASURES))
 
 
 _MEASURES = ["events", "orders", "refunds", "revenue", "refunded", "first_seen"]

@@ -11,10 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlens.operators.dedup import BUSY_ROWS, WINDOW_SECONDS, dedup_window, join_ids
-from eventlens.session import delete_folder, materialize, read_or_none, stages
+from eventlens.session import BROADCAST_ROWS, delete_folder, materialize, read_or_none, stages, write_spread
 
-KEPT_BATCHES = 10  # accepted rows that `accept` leaves for a retry
-SPAN_SECONDS = 3600  # accepted times are written in folders of this length
 
 
 class RollingDedup:
@@ -37,39 +35,58 @@ class RollingDedup:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with stages(self.spark):
-            self._handle(materialize(batch, "batch"), batch_id)
+            self._handle(materialize(batch, "batch", spread=True), batch_id)
 
     def accept(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
         """(accepted rows, one row with ``duplicates_rejected``) of a written micro-batch, for
-        a handler that goes on with them; earlier batches' accepted rows are not kept."""
-        self._handle(batch, batch_id)
-        delete_folder(self.spark, f"{self.path}/accepted/batch_id={batch_id - KEPT_BATCHES}")
+        a handler that goes on with them. The rows are no copy: they are read from the batch,
+        by the columns asked for, until its files go; ``accepted/`` is not written."""
+        accepted = self._decided(batch, batch_id)
         report = self.spark.read.parquet(f"{self.path}/report/batch_id={batch_id}")
-        return (
-            self.spark.read.schema(batch.schema).parquet(f"{self.path}/accepted/batch_id={batch_id}"),
-            report.select((F.col("delivered") - F.col("accepted")).alias("duplicates_rejected")),
-        )
+        return accepted, report.select((F.col("delivered") - F.col("accepted")).alias("duplicates_rejected"))
 
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
+        self._decided(batch, batch_id, f"{self.path}/accepted/batch_id={batch_id}")
+
+    def _decided(self, batch: DataFrame, batch_id: int, path: str | None = None) -> DataFrame:
+        """The accepted rows of a written batch, at ``path`` if it is given; what the batch adds to
+        ``seen/`` and ``report/`` is written."""
+        us = F.unix_micros(self.time_col)
+        times = batch.agg(F.min(us), F.max(us)).first()
+        accepted = self._accepted_of(batch, batch_id, times)
+        if path:
+            accepted = write_spread(accepted, path)
+        self._record(accepted, batch, batch_id, times)
+        return accepted
+
+    def _accepted_of(self, batch: DataFrame, batch_id: int, times: tuple) -> DataFrame:
         width = int(self.window_seconds * 1_000_000)
         us = F.unix_micros(self.time_col)
-        seen = self._seen_before(batch, batch_id, width)
+        seen = self._seen_before(batch_id, times, width)
         fresh = batch
         if seen is not None:
             slots = batch.withColumn("_slot", F.struct(F.col(self.id_col).alias("id"), F.floor(us / max(width, 1)).alias("n")))
             near = F.exists("_seen_us", lambda t: F.abs(us - t) < width)
+            n_seen = seen.count()
             fresh = (
-                join_ids(slots, "_slot", seen, seen.count(), "left", self._busy(slots))
+                join_ids(slots, "_slot", seen, n_seen, "left", self._busy(slots))
                 .where(~F.coalesce(near, F.lit(False)))
                 .select(*batch.columns)
             )
-        accepted = materialize(
-            dedup_window(fresh, self.id_col, self.time_col, self.window_seconds, self.tie_cols), "accepted"
-        )
-        accepted.write.mode("overwrite").parquet(f"{self.path}/accepted/batch_id={batch_id}")
-        accepted.select(
-            F.col(self.id_col).alias("_cid"), us.alias("_seen_us"), F.floor(us / (SPAN_SECONDS * 1_000_000)).alias("span"),
-        ).write.mode("overwrite").partitionBy("span").parquet(f"{self.path}/seen/batch_id={batch_id}")
+            if n_seen > BROADCAST_ROWS:  # a shuffled join, too dear to be run for every read
+                fresh = materialize(fresh, "fresh", spread=True)
+        return dedup_window(fresh, self.id_col, self.time_col, self.window_seconds, self.tie_cols)
+
+    def _record(self, accepted: DataFrame, batch: DataFrame, batch_id: int, times: tuple) -> None:
+        """Leave the accepted times and the counts of a batch. The folder of the times is named by
+        their range, so that later batches find those near them without opening the others; the
+        files are ranges of time too, a few of them however long the batch spans."""
+        low, high = times
+        delete_folder(self.spark, f"{self.path}/seen/batch_id={batch_id}")  # of a try that died
+        if low is not None:
+            accepted.select(F.col(self.id_col).alias("_cid"), F.unix_micros(self.time_col).alias("_seen_us")).repartitionByRange(
+                "_seen_us", "_cid").sortWithinPartitions("_seen_us").write.parquet(
+                f"{self.path}/seen/batch_id={batch_id}/low={low}/high={high}")
         batch.agg(F.count("*").alias("delivered")).withColumn(
             "accepted", accepted.agg(F.count("*")).scalar()
         ).write.mode("overwrite").parquet(f"{self.path}/report/batch_id={batch_id}")
@@ -82,18 +99,17 @@ class RollingDedup:
         busy = materialize(counts.where(F.col("_n") > BUSY_ROWS).select("_cid"), "busy")
         return busy, busy.count()
 
-    def _seen_before(self, batch: DataFrame, batch_id: int, width: int) -> DataFrame | None:
+    def _seen_before(self, batch_id: int, times: tuple, width: int) -> DataFrame | None:
         """The accepted times that rows of the batch can be near to, by slot: id and number of
         the window-long stretch of time. An id has one accepted time in a stretch at most,
         so a slot has those of itself and its two neighbours."""
         seen = read_or_none(self.spark, f"{self.path}/seen")
-        us = F.unix_micros(self.time_col)
-        low, high = batch.agg(F.min(us), F.max(us)).first()
+        low, high = times
         if seen is None or low is None:
             return None
-        low, high, span = low - width, high + width, SPAN_SECONDS * 1_000_000
+        low, high = low - width, high + width
         reached = seen.where(
-            (F.col("batch_id") < batch_id) & F.col("span").between(low // span, high // span)
+            (F.col("batch_id") < batch_id) & (F.col("low") <= high) & (F.col("high") >= low)
             & F.col("_seen_us").between(low, high))
         stretch = F.floor(F.col("_seen_us") / max(width, 1))
         return materialize(

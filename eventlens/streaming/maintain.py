@@ -44,7 +44,7 @@ def _fold(
     """Whether the batch had rows."""
     # Two aggregates read the batch; writing it first keeps the stateful part above
     # from running twice.
-    rows = materialize(batch, "batch")
+    rows = materialize(batch, "batch", spread=True)
     if rows.isEmpty():
         return False
     if FLAG in rows.columns:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import at, rows
 from eventlens.operators import dedup, state as st
 from eventlens.operators.pipeline import Pipeline
-from eventlens.session import fresh_dir
+from eventlens.session import fresh_dir, materialize
 from eventlens.sources.snapshots import StateTable
 from eventlens.streaming import events as streams, maintain
 from eventlens.streaming.exact_dedup import RollingDedup
@@ -181,3 +181,14 @@ def test_ingest_stamp_and_processing_time_trigger(spark, events, feed):
 def test_an_empty_frame_has_empty_slices(events):
     empty = events({}).limit(0)
     assert [part.count() for part in streams.split_by_time(empty, 3)] == [0, 0, 0]
+
+
+def test_a_long_batch_leaves_few_files_and_is_spread_over_the_cores(spark, events, feed):
+    """A hundred hours in one batch: no folder for each hour. What one task wrote, many can read."""
+    handler = RollingDedup(spark, f"{feed.work}/exact")
+    handler(events(*[purchase(n, 3600 * n) for n in range(100)]), 0)
+    handler(events(purchase(5, 3600 * 5 + 10, copy=1), purchase(6, 3600 * 6 + 40, copy=1), purchase(200, 7)), 1)
+    assert tuple(handler.report().first()) == (103, 102, 1)
+    assert len(spark.read.parquet(f"{feed.work}/exact/seen/batch_id=0").inputFiles()) <= 8
+    written = materialize(spark.range(0, 250_000, 1, 1), "batch", spread=True)
+    assert written.count() == 250_000 and len(written.inputFiles()) == 3
